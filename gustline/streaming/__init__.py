@@ -1,0 +1 @@
+"""Intentionally empty: every source here is a bounded batch, so no operator streams."""
