@@ -43,7 +43,7 @@ def reject_reason() -> Column:
     state = F.col(K.ident(K.STATE))
     negative = reduce(
         lambda a, b: a | b,
-        [F.coalesce(raw_number(c) < 0, F.lit(False)) for c in K.NON_NEGATIVE_COLUMNS],
+        [S.negative_number(F.col(K.ident(c))) for c in K.NON_NEGATIVE_COLUMNS],
     )
     return F.when(state.isNull() | ~state.isin(*K.STATES), F.lit(K.INVALID_STATE)).when(
         negative, F.lit(K.NEGATIVE_VALUE)

@@ -93,7 +93,9 @@ SILVER = (
 
 
 def stable_sum(expression: str) -> str:
-    return f"CAST(sum(CAST({expression} AS DECIMAL(28,10))) AS DOUBLE)"
+    # Through text both ways: a direct cast between decimal and double is not exact.
+    exact = f"CAST(CAST({expression} AS VARCHAR) AS DECIMAL(28,10))"
+    return f"CAST(CAST(sum({exact}) AS VARCHAR) AS DOUBLE)"
 
 
 def stable_mean(expression: str) -> str:
@@ -189,7 +191,7 @@ def on(prefix: str, body: str) -> str:
 @check
 def csv_landing() -> str:
     return on(RAW, 'SELECT "State" AS state, count(*) AS "rows", CAST(0 AS BIGINT) AS malformed, '
-              "count(\"Utility Number\") AS keys, count(\"EVENT_TYPE\") AS event_types "
+              "count(\"Utility Number\") AS keys, count(nullif(\"EVENT_TYPE\", '')) AS event_types "
               "FROM raw GROUP BY 1")
 
 
@@ -612,10 +614,11 @@ def compare_two() -> str:
     parts = []
     for label, (column, divisor) in COMPARED.items():
         value = half_even(f"(CAST({q(column)} AS DOUBLE) / CAST({divisor:.0f} AS DOUBLE))", 3)
+        names = 'SELECT DISTINCT "Utility Name" FROM gold WHERE "Utility Name" IS NOT NULL ORDER BY 1'
         cells = ", ".join(
-            f"(SELECT {value} FROM gold WHERE \"Utility Name\" = '{name}' "
-            f"ORDER BY {KEY} LIMIT 1) AS {side}"
-            for side, name in (("first", "Customer#000000007"), ("second", "Customer#000000011"))
+            f"(SELECT {value} FROM gold WHERE \"Utility Name\" = "
+            f"({names} LIMIT 1 OFFSET {at}) ORDER BY {KEY} LIMIT 1) AS {side}"
+            for at, side in enumerate(("first", "second"))
         )
         parts.append(f"SELECT '{label}' AS metric, {cells}")
     return on(GOLD, f"SELECT * FROM ({' UNION ALL '.join(parts)}) "

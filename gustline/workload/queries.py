@@ -18,10 +18,10 @@ from ..operators import reports as R
 from ..operators import scoring
 from ..operators.rollup import utility_rollup
 from ..plans.features import build_features
-from ..session import stage, staging_root
+from ..session import stage, staging_root, tune
 from ..sources import layers as L
 from ..sources import publish as P
-from ..sources.delimited import export_csv, malformed, read_text_columns, well_formed
+from ..sources.delimited import export_csv, read_text_columns
 from . import feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,15 +29,43 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return function(tune(spark), sf_dir)
+
+    QUERIES[function.__name__] = run
     return function
 
 
 # --- shared inputs ------------------------------------------------------------
 
 
+_layers: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(
+    name: str, build: Callable[[SparkSession, str], DataFrame], spark: SparkSession, sf_dir: str
+) -> DataFrame:
+    """A layer table: written once per application, then read by every later query."""
+    where = (staging_root(spark), sf_dir, name)
+    path = _layers.get(where)
+    if path is None or not L.path_exists(spark, f"{path}/_SUCCESS"):
+        stored = stage(build(spark, sf_dir), name)
+        _layers[where] = stored.inputFiles()[0].rsplit("/", 1)[0]
+        return stored
+    return spark.read.parquet(path)
+
+
+def forget_layers() -> None:
+    """Make the next query build its layers again (used to time cold runs)."""
+    _layers.clear()
+
+
+def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored("bronze", feed.raw_events, spark, sf_dir)
+
+
 def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.typed_events(feed.raw_events(spark, sf_dir))
+    return C.typed_events(bronze(spark, sf_dir))
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,23 +76,8 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_features(silver(spark, sf_dir), sum_mode="decimal")
 
 
-_gold_paths: dict[tuple[str, str], str] = {}
-
-
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored Gold table: built once per application, as a report would find it."""
-    where = (staging_root(spark), sf_dir)
-    path = _gold_paths.get(where)
-    if path is None or not L.path_exists(spark, f"{path}/_SUCCESS"):
-        stored = stage(features(spark, sf_dir), "gold")
-        path = _gold_paths[where] = stored.inputFiles()[0].rsplit("/", 1)[0]
-        return stored
-    return spark.read.parquet(path)
-
-
-def forget_gold() -> None:
-    """Make the next query build Gold again (used to time cold runs)."""
-    _gold_paths.clear()
+    return _stored("gold", features, spark, sf_dir)
 
 
 # --- sources and sinks ----------------------------------------------------------
@@ -77,7 +90,7 @@ def _scratch(spark: SparkSession, name: str) -> str:
 @query
 def csv_landing(spark, sf_dir):
     """Feed written as CSV, read back as text with line checks, landed, counted per state."""
-    raw = feed.raw_events(spark, sf_dir).drop(K.ROW_ID)
+    raw = bronze(spark, sf_dir).drop(K.ROW_ID)
     lines = read_text_columns(spark, export_csv(raw, _scratch(spark, "feed-csv")))
     landed = L.with_lineage(lines, "b1", "2024-01-01 00:00:00")
     return (
@@ -105,8 +118,10 @@ def malformed_lines(spark, sf_dir):
     path = _scratch(spark, "ragged-csv")
     text.write.mode("overwrite").option("header", True).option("sep", "\u0001").csv(path)
     lines = read_text_columns(spark, path)
-    good = well_formed(lines).agg(F.count("key").alias("good_lines"))
-    return good.withColumn("rejected_lines", malformed(lines).agg(F.count("line")).scalar())
+    return lines.agg(
+        F.count(F.when(F.col("_corrupt").isNull(), F.col("key"))).alias("good_lines"),
+        F.count("_corrupt").alias("rejected_lines"),
+    )
 
 
 @query
@@ -128,7 +143,7 @@ def publish_counts(spark, sf_dir):
 def snake_columns(spark, sf_dir):
     """Feed under catalog-ready names, counted per state and region."""
     return (
-        P.snake_columns(feed.raw_events(spark, sf_dir))
+        P.snake_columns(bronze(spark, sf_dir))
         .groupBy("state", "nerc_region")
         .agg(
             F.count(F.lit(1)).alias("rows"),
@@ -171,7 +186,7 @@ def exposure_join_spread(spark, sf_dir):
 
 
 def _row_values(spark, sf_dir, **columns):
-    raw = feed.raw_events(spark, sf_dir)
+    raw = bronze(spark, sf_dir)
     return raw.select(F.col(K.ROW_ID).alias("row_id"), *[v.alias(n) for n, v in columns.items()])
 
 
@@ -221,7 +236,7 @@ def safe_number(spark, sf_dir):
 
 @query
 def valid_state_filter(spark, sf_dir):
-    raw = feed.raw_events(spark, sf_dir)
+    raw = bronze(spark, sf_dir)
     return (
         raw.filter(F.col(K.STATE).isin(*K.STATES))
         .groupBy(F.col(K.STATE).alias("state"))
@@ -232,7 +247,7 @@ def valid_state_filter(spark, sf_dir):
 @query
 def tolerant_clean(spark, sf_dir):
     """The one-step cleaner over the whole feed, all 37 columns."""
-    return C.clean_tolerant(feed.raw_events(spark, sf_dir))
+    return C.clean_tolerant(bronze(spark, sf_dir))
 
 
 @query
@@ -271,12 +286,12 @@ def reject_counts(spark, sf_dir):
 
 @query
 def soft_profile(spark, sf_dir):
-    return Q.soft_profile(feed.raw_events(spark, sf_dir))
+    return Q.soft_profile(bronze(spark, sf_dir))
 
 
 @query
 def missing_keys(spark, sf_dir):
-    return Q.missing_keys(feed.raw_events(spark, sf_dir))
+    return Q.missing_keys(bronze(spark, sf_dir))
 
 
 @query
@@ -286,7 +301,7 @@ def duplicate_count(spark, sf_dir):
 
 @query
 def layer_identity(spark, sf_dir):
-    bronze = feed.raw_events(spark, sf_dir)
+    bronze = bronze(spark, sf_dir)
     rows = C.typed_events(bronze)
     return Q.layer_identity(bronze, C.quarantined(rows), C.silver_events(rows))
 
@@ -454,7 +469,10 @@ def top_states(spark, sf_dir):
 
 @query
 def compare_two(spark, sf_dir):
-    return R.compare_two(gold(spark, sf_dir), "Customer#000000007", "Customer#000000011")
+    """The first two utilities of the name list."""
+    table = gold(spark, sf_dir)
+    names = [row["value"] for row in R.value_list(table, K.NAME, 2).collect()]
+    return R.compare_two(table, *names)
 
 
 @query
@@ -577,8 +595,9 @@ def scoring_features(spark, sf_dir):
 
 
 def _small_specs():
-    return M.model_specs(lr_iterations=50, tree_depth=5, forest_trees=20, boost_iterations=5,
-                         boost_depth=4)
+    return M.model_specs(
+        lr_iterations=30, tree_depth=5, forest_trees=10, boost_iterations=3, boost_depth=3
+    )
 
 
 @query
@@ -593,8 +612,9 @@ def batch_score(spark, sf_dir):
     spec = _small_specs()["Logistic Regression"]
     wide = M.feature_sets(table)[M.WIDE]
     train = table.withColumn("label", F.col(K.LABEL))
-    model = M.fit_classifier(train, spec, wide, list(M.CATEGORICAL))
-    scored = scoring.batch_score(model, table.select(K.ident(K.KEY), *wide, *map(K.ident, M.CATEGORICAL)))
+    model = M.fit_pipeline(train, spec, wide, list(M.CATEGORICAL))
+    inputs = [K.ident(c) for c in (K.KEY, *wide, *M.CATEGORICAL)]
+    scored = scoring.batch_score(model, table.select(*inputs))
     return scored.select(
         F.col(K.ident(K.KEY)).alias("utility_number"),
         "risk_label", "risk_probability", "confidence", "message",
