@@ -33,7 +33,8 @@ def strict_double(text: Column) -> Column:
     trimmed = F.trim(text)
     plain = F.right(trimmed, F.lit(1)).isin(*"0123456789.")
     plain = plain & ~trimmed.contains("x") & ~trimmed.contains("X")
-    return F.when(plain | trimmed.rlike(NUMBER_WORD), trimmed.try_cast("double"))
+    word = (F.length(trimmed) >= 3) & trimmed.rlike(NUMBER_WORD)
+    return F.when(plain | word, trimmed.try_cast("double"))
 
 
 def negative_number(text: Column) -> Column:

@@ -55,11 +55,6 @@ def _stored(
     return spark.read.parquet(path)
 
 
-def forget_layers() -> None:
-    """Make the next query build its layers again (used to time cold runs)."""
-    _layers.clear()
-
-
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored("bronze", feed.raw_events, spark, sf_dir)
 
@@ -301,9 +296,9 @@ def duplicate_count(spark, sf_dir):
 
 @query
 def layer_identity(spark, sf_dir):
-    bronze = bronze(spark, sf_dir)
-    rows = C.typed_events(bronze)
-    return Q.layer_identity(bronze, C.quarantined(rows), C.silver_events(rows))
+    landed = bronze(spark, sf_dir)
+    rows = C.typed_events(landed)
+    return Q.layer_identity(landed, C.quarantined(rows), C.silver_events(rows))
 
 
 @query
