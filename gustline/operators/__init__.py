@@ -1 +1 @@
-
+"""Table operators: DataFrames and column names in, DataFrames out."""

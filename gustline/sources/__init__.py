@@ -1 +1 @@
-
+"""Files, layers, publishing and the run manifest."""

@@ -1 +1 @@
-
+"""The registered queries on the given tables and their SQL checks."""
