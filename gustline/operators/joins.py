@@ -34,8 +34,8 @@ JITTER_DEGREES = (1.5, 2.0)
 
 
 def centroid_table(spark: SparkSession) -> DataFrame:
-    rows = [(state, lat, lon) for state, (lat, lon) in STATE_CENTROIDS.items()]
-    return spark.createDataFrame(rows, "centroid_state string, centroid_lat double, centroid_lon double")
+    rows = ", ".join(f"('{s}', {lat}D, {lon}D)" for s, (lat, lon) in STATE_CENTROIDS.items())
+    return spark.sql(f"VALUES {rows} AS t(centroid_state, centroid_lat, centroid_lon)")
 
 
 def with_location(

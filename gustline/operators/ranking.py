@@ -54,17 +54,18 @@ def running_totals(
     measures: Sequence[str],
     by: Sequence[str] = (),
     small_values: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add ``<m>_before`` (sum over smaller values) and ``<m>_total`` per group.
 
-    ``values`` is a stored table with one row per (``by``, ``_value``). NULL counts as
-    the largest value.
+    ``values`` is a stored table with one row per (``by``, ``_value``); pass ``rows``
+    when they are counted already. NULL counts as the largest value.
     """
     limit = SMALL_VALUES if small_values is None else small_values
     smaller = Window.orderBy(F.col(VALUE).asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    if values.count() <= limit:
+    if (values.count() if rows is None else rows) <= limit:
         return values.withColumns(
             {
                 f"{m}_before": F.sum(m).over(smaller.partitionBy(*by)) - F.col(m)
@@ -174,8 +175,9 @@ def with_percent_rank(
     """
     limit = SMALL_VALUES if small_values is None else small_values
     counts = _counts(df, list(columns.values()), (), missing=True)
-    small = counts.count() <= limit
-    totals = running_totals(counts, ["n"], [SERIES], limit)
+    rows_counted = counts.count()
+    small = rows_counted <= limit
+    totals = running_totals(counts, ["n"], [SERIES], limit, rows_counted)
     out = df
     for i, (name, column) in enumerate(columns.items()):
         rank = F.col("n_before") + (F.col("n") + 1) / F.lit(2.0)

@@ -396,7 +396,9 @@ def _state_metric(metric, spark, sf_dir):
 
 
 for _metric in R.STATE_METRICS:
-    QUERIES[f"state_metric_{_metric}"] = partial(_state_metric, _metric)
+    _registered = partial(_state_metric, _metric)
+    _registered.__name__ = f"state_metric_{_metric}"
+    query(_registered)
 
 
 @query
