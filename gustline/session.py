@@ -29,6 +29,7 @@ def local_session(cpus: int | str = 8, **conf: str) -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("gustline")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
@@ -49,7 +50,9 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
         app = spark.sparkContext.applicationId
-        folder = _local_folders.setdefault(app, tempfile.mkdtemp(prefix="gustline-"))
+        if app not in _local_folders:
+            _local_folders[app] = tempfile.mkdtemp(prefix="gustline-")
+        folder = _local_folders[app]
     return folder.rstrip("/")
 
 
@@ -57,6 +60,11 @@ def staging_root(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/gustline/{spark.sparkContext.applicationId}"
 
 
+def staged_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -64,7 +72,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     reader scans only its own columns and the optimizer sees the true size.
     """
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    path = staged_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
