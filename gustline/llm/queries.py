@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gustline.llm import simhash, token_counts
+from gustline.llm import secrets, simhash, token_counts, warc
 from gustline.llm.common import table
+from gustline.session import staged_path
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
@@ -24,11 +25,23 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = staged_path(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), archive)
+    return warc.page_rows(warc.read_archive(spark, archive))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op3_secret_scan": op3_secret_scan,
+    "op4_warc": op4_warc,
     "op9_simhash": op9_simhash,
 }
