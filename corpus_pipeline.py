@@ -1,8 +1,79 @@
-"""A corpus pipeline."""
+"""From raw documents to packed training bins: five stages over the table ``documents``.
 
-STAGES = []
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which ``run`` writes to the
+shared folder and reads again as the next stage's docs. All but the last return the columns of
+documents. Each case of the operators (NULLs, empty and long texts, repeats, empty tables)
+has the result their docstrings state.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from gustline.llm import language, mixing, packing, secrets, simhash
+from gustline.llm.common import fresh
+from gustline.session import staged_path
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents with a language; those without a letter go. A NULL ``lang`` is filled."""
+    model = language.learn(docs)
+    (found,) = fresh("found")
+    kept = docs.withColumn(found, language.identify(docs, model)["lang"]).where(F.col(found) != language.UNKNOWN)
+    return kept.withColumn("lang", F.coalesce("lang", found)).drop(found)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each SimHash group: the one with the smallest doc_id."""
+    return simhash.drop_near_duplicates(docs)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep all documents, with a mark in the place of every secret; ``n_chars`` follows the text."""
+    masked = secrets.mask(docs)
+    kind = docs.schema["n_chars"].dataType
+    return masked.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take whole documents as often as the mix takes their words.
+
+    A document of which the mix takes w words of s comes floor(w / s + u) times, u being a
+    fixed random number from 0 to 1 of its own: on average the mix's share, at most twice.
+    """
+    key, digest, share, again = fresh("key", "digest", "share", "again")
+    taken = mixing.mix(docs).groupBy(F.col("doc_id").alias(key), F.col("text_hash").alias(digest)).agg(
+        (F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias(share)
+    )
+    rows = docs.withColumn(digest + "_own", F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(digest + "_own") == F.col(digest))
+    chance = F.pmod(F.xxhash64(F.lit(mixing.SEED), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    copies = F.floor(F.col(share) + chance).cast("int")
+    met = rows.join(taken, same).withColumn(again, copies).where(F.col(again) > 0)
+    return met.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(again)))).select(*docs.columns)
+
+
+def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their bins and texts; copies never share a bin."""
+    return packing.with_text(docs, packing.pack(docs))
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("SimHash near-dedup", drop_near_duplicates),
+    ("secret scans", mask_secrets),
+    ("mixing sources to target weights", mix_sources),
+    ("best-fit packing", pack_bins),
+]
+#: The learned model, the hashes and the greedy packing have no SQL form.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage, from the whole table ``documents``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for number, (_, step) in enumerate(STAGES):
+        path = staged_path(spark, f"stage{number}")
+        step(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

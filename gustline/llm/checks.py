@@ -2,4 +2,41 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+#: Base 32 of the SHA-1: its 160 bits in 32 groups of five.
+WARC = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body FROM pages
+), d AS (
+  SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes, sha1(body) AS sha FROM p
+), b AS (
+  SELECT DISTINCT sha, array_to_string(list_transform(string_split(sha, ''),
+    lambda c: substr('0000000100100011010001010110011110001001101010111100110111101111',
+                4 * (strpos('0123456789abcdef', c) - 1) + 1, 4)), '') AS bits FROM d
+), e AS (
+  SELECT sha, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + (16 * substr(bits, 5 * i + 1, 1)::INT + 8 * substr(bits, 5 * i + 2, 1)::INT + 4 * substr(bits, 5 * i + 3, 1)::INT
+       + 2 * substr(bits, 5 * i + 4, 1)::INT + substr(bits, 5 * i + 5, 1)::INT)::INT, 1)), '') AS payload_digest FROM b
+), f AS (
+  SELECT sha, payload_bytes, min(page_id) AS first FROM d GROUP BY ALL
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM d JOIN e USING (sha) JOIN f USING (sha, payload_bytes)
+"""
+
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+), r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+SQL: dict[str, str] = {"op4_warc": WARC, "op8_top_k": TOP_K}

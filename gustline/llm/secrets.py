@@ -213,6 +213,6 @@ def mask(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", **options)
 
     masked = F.aggregate(
         F.col(spans), begin, step,
-        lambda s: F.concat(s["out"], F.substring(F.col(text), s["at"] + 1, F.length(found))),
+        lambda s: F.concat(s["out"], F.substring(F.col(text), s["at"] + 1, F.length(F.col(text)))),
     )
     return scanned.withColumn(text, F.when(F.size(spans) > 0, masked).otherwise(F.col(text))).drop(base, spans)
