@@ -27,6 +27,18 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def each_copy(rows: DataFrame, n: str, copy: str, most: int = 4096) -> DataFrame:
+    """One row for each of ``n`` copies, numbered from 0 in ``copy``.
+
+    A row with very many copies is cut into parts of ``most``, which are dealt to all tasks.
+    """
+    begin, (part,) = F.lit(0).cast("long"), fresh("part")
+    parts = rows.withColumn(part, F.explode(F.sequence(begin, F.floor((F.col(n) - 1) / most))))
+    spread = parts.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    first = F.col(part) * most
+    return spread.withColumn(copy, F.explode(F.sequence(first, F.least(first + most, F.col(n)) - 1))).drop(part)
+
+
 def fresh(*names: str) -> list[str]:
     """Column names no input table carries, so extra columns can't clash with them."""
     mark = uuid.uuid4().hex[:8]

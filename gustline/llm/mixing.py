@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gustline.llm.common import n_words
+from gustline.llm.common import each_copy, n_words
 from gustline.session import stage
 
 BLOCK = 64
@@ -102,10 +102,9 @@ def placed(docs: DataFrame, source: str, text: str, key: str) -> tuple[DataFrame
         F.col("source").alias("of"), F.col("chunk").alias("part"),
         (F.sum("words").over(before) - F.col("words")).alias("offset"),
     )
-    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))
+    joined = summed.join(offsets, F.col("source").eqNullSafe(F.col("of")) & (F.col("chunk") == F.col("part")))
     at = (
-        summed.join(offsets, F.col("source").eqNullSafe(F.col("of")) & (F.col("chunk") == F.col("part")))
-        .withColumn("copy", copies)
+        each_copy(joined, "n", "copy")
         .select(
             "key", "text_hash", "source", "size",
             (F.col("start") + F.col("offset") + F.col("copy") * F.col("size")).alias("start"),
@@ -148,7 +147,8 @@ def slots(sources: DataFrame, block: int = BLOCK, per_shard: int = SLOTS, seed:
     )
     earlier = Window.partitionBy("source_no").orderBy("shard")
     counted = stage(drawn.withColumn("first", F.sum("count").over(earlier) - F.col("count")).where("count > 0"), "draws")
-    spread = counted.repartition("source_no", "shard")
+    # few rows that become many: dealt to as many tasks as any shuffle
+    spread = counted.repartition(int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source_no", "shard")
     each = spread.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1))).withColumn("t", F.col("first") + F.col("j"))
     # a comb may give a source at its limit one slot more than it has blocks to give
     within = each.where(F.col("t") < F.ceil(F.col("wanted")))
@@ -183,7 +183,8 @@ def mix(
     begin = F.greatest(F.lit(0), F.col("block_no") * block - F.col("start"))
     end = F.least(F.col("size"), (F.col("block_no") + 1) * block - F.col("start"))
     cut = pieces.select("source_no", "start", "block_no", begin.alias("from_word"), (end - begin).alias("words"))
-    met = cut.join(slots(wanted, block, per_shard, seed), ["source_no", "block_no"])
+    # both sides grow with the corpus, whatever their sizes before they are exploded
+    met = cut.join(slots(wanted, block, per_shard, seed).hint("merge"), ["source_no", "block_no"])
     found = met.groupBy(F.col("source_no").alias("no"), F.col("start").alias("at")).agg(
         F.sum("words").alias("taken"),
         F.array_sort(F.collect_list(F.struct("shard", "slot", "pass", "from_word", "words"))).alias("placements"),
