@@ -8,7 +8,6 @@ word, so that single odd words don't break a span but passages in another langua
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,7 +33,7 @@ SCRIPTS = (
     (0xA640, "Cyrillic"), (0xA720, "Latin"), (0xAC00, "Hangul"), (0xF900, "Han"), (0xFB00, "Latin"),
     (0xFB1D, "Hebrew"), (0xFB50, "Arabic"), (0xFF21, "Latin"), (0xFF66, "Kana"), (0x10000, ""), (0x20000, "Han"),
 )
-_STARTS = [s for s, _ in SCRIPTS]
+_STARTS = np.array([s for s, _ in SCRIPTS])
 
 UNKNOWN = "und"
 SIZES = (1, 2, 3, 4, 5)
@@ -48,11 +47,12 @@ OUTSIDE = -20.0
 CACHE = 200_000
 _words = re.compile(r"[^\W\d_]+").findall
 _places = re.compile(r"[^\W\d_]+").finditer
+_letter = re.compile(r"[^\W\d_]").search
 
 
-def script_of(word: str) -> str:
-    at = bisect_right(_STARTS, ord(word[0]))
-    return SCRIPTS[at - 1][1] if at else ""
+def scripts_of(words: list[str]) -> np.ndarray:
+    """For each word the number of its first letter's range in SCRIPTS."""
+    return np.maximum(np.searchsorted(_STARTS, [ord(w[0]) for w in words], side="right") - 1, 0)
 
 
 @dataclass(frozen=True)
@@ -69,8 +69,8 @@ class Model:
         total /= np.sqrt(np.maximum(count, 1))[:, None].astype(np.float32)
         out = np.clip(total, -WORD_LIMIT, WORD_LIMIT)
         anywhere = np.ones(len(self.languages), dtype=bool)
-        allowed = np.array([self.scripts.get(script_of(w), anywhere) for w in words])
-        return np.where(allowed, out, OUTSIDE).astype(np.float32)
+        candidates = np.array([self.scripts.get(name, anywhere) for _, name in SCRIPTS])
+        return np.where(candidates[scripts_of(words)], out, OUTSIDE).astype(np.float32)
 
 
 def learn(
@@ -115,16 +115,29 @@ def learn(
         for ids, word in grams(words, SIZES, BUCKETS):
             table[:, i] += np.bincount(ids, weights=weight[word], minlength=BUCKETS)
         used = Counter()
-        for w, n in zip(words, weight):
-            used[script_of(w)] += n
+        for at, n in enumerate(np.bincount(scripts_of(words), weights=weight, minlength=len(SCRIPTS))):
+            used[SCRIPTS[at][1]] += n
         for script, n in used.items():
-            if n >= 0.01 * weight.sum():
+            if n and n >= 0.01 * weight.sum():
                 written.setdefault(script, np.zeros(len(languages), dtype=bool))[i] = True
     ratio = np.log(table / table.sum(axis=0))
     ratio -= ratio.mean(axis=1, keepdims=True)
     return Model(languages, ratio.astype(np.float32), written)
 
 
+def _only(scores: np.ndarray, switch: float) -> int | None:
+    """The language of a text that Viterbi gives to one language as a whole, or None.
+
+    A path that leaves language k pays at least one switch for each run of words in another.
+    If no run of words gains more than a switch by that, staying is best.
+    """
+    top = int(scores.sum(axis=0, dtype=np.float64).argmax())
+    gain = np.cumsum(scores - scores[:, top : top + 1], axis=0, dtype=np.float64)
+    lowest = np.minimum(np.minimum.accumulate(gain, axis=0), 0.0)
+    before = np.vstack([np.zeros((1, gain.shape[1])), lowest[:-1]])
+    return top if (gain - before).max() <= switch else None
+
+
 def _paths(scores: np.ndarray, texts: list[np.ndarray], switch: float) -> list[np.ndarray]:
     """The best language of every word: Viterbi over many texts at once, longest first."""
     out: list[np.ndarray] = [np.empty(0, np.uint8)] * len(texts)
@@ -163,6 +176,20 @@ def _paths(scores: np.ndarray, texts: list[np.ndarray], switch: float) -> list[n
     return out
 
 
+def _spans(text: str, words: list[str], path: np.ndarray, names: tuple[str, ...]) -> tuple:
+    """(language, score, spans) from the language of every word."""
+    letters = np.bincount(path, weights=[len(w) for w in words], minlength=len(names))
+    top = int(letters.argmax())
+    places = [m.span() for m in _places(text)]
+    ends = np.flatnonzero(np.diff(path, append=255)).tolist()
+    firsts = [0, *(e + 1 for e in ends[:-1])]
+    if len(places) == len(words):
+        spans = [{"start": places[a][0], "end": places[b][1], "lang": names[path[b]]} for a, b in zip(firsts, ends)]
+    else:  # lower-casing changed how many words there are
+        spans = [{"start": places[0][0], "end": places[-1][1], "lang": names[top]}]
+    return names[top], float(letters[top] / letters.sum()), spans
+
+
 def identify(docs: DataFrame, model: Model, text: str = "text", switch: float = SWITCH, cache: int = CACHE) -> Column:
     """A column: struct<lang, score, spans: array<struct<start, end, lang>>> of the whole text.
 
@@ -185,21 +212,17 @@ def identify(docs: DataFrame, model: Model, text: str = "text", switch: float =
                 some = texts[at : at + 512]
                 words = [_words(t.lower()) if n else [] for t in some]
                 numbers = rows.numbers(words)
-                for t, own, path in zip(some, words, _paths(rows.rows, numbers, switch)):
-                    if not len(path):
+                only = [_only(rows.rows[i], switch) if len(i) else None for i in numbers]
+                mixed = [i for i, w in enumerate(words) if w and only[i] is None]
+                paths = dict(zip(mixed, _paths(rows.rows, [numbers[i] for i in mixed], switch)))
+                for i, t in enumerate(some):
+                    if i in paths:
+                        found.append(_spans(t, words[i], paths[i], names))
+                    elif words[i]:
+                        first, last = _letter(t).start(), len(t) - _letter(t[::-1]).start()
+                        found.append((names[only[i]], 1.0, [{"start": first, "end": last, "lang": names[only[i]]}]))
+                    else:
                         found.append((UNKNOWN, 0.0, []))
-                        continue
-                    letters = np.bincount(path, weights=[len(w) for w in own], minlength=n)
-                    top = int(letters.argmax())
-                    ends = np.flatnonzero(np.diff(path, append=255))
-                    places = [m.span() for m in _places(t)]
-                    firsts = [0, *(ends[:-1] + 1).tolist()]
-                    # lower-casing may change how many words there are; then the text is one span
-                    whole = len(places) != len(own)
-                    spans = [
-                        {"start": places[a][0], "end": places[b][1], "lang": names[path[b]]} for a, b in zip(firsts, ends.tolist())
-                    ] if not whole else [{"start": 0, "end": len(t), "lang": names[top]}]
-                    found.append((names[top], float(letters[top] / letters.sum()), spans))
             yield pd.DataFrame(found, columns=["lang", "score", "spans"])
 
     return labelled(F.coalesce(F.col(text), F.lit("")))

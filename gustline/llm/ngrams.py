@@ -52,10 +52,11 @@ class WordCache:
 
     def numbers(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Row numbers of each text's words, valid until the next call."""
-        new = {w for words in texts for w in words if w not in self._known}
+        here = set().union(*texts)
+        new = here.difference(self._known)
         if len(self._known) + len(new) > self._size:
             self._known.clear()
-            new = {w for words in texts for w in words}
+            new = here
         fresh, at = sorted(new), len(self._known) + 1
         if at + len(fresh) > len(self.rows):
             grown = np.zeros((max(2 * len(self.rows), at + len(fresh)), self.rows.shape[1]), dtype=np.float32)
@@ -65,5 +66,5 @@ class WordCache:
             some = fresh[i : i + self._batch]
             self.rows[at + i : at + i + len(some)] = self._make(some)
         self._known.update(zip(fresh, range(at, at + len(fresh))))
-        known = self._known
-        return [np.fromiter((known[w] for w in words), np.int64, len(words)) for words in texts]
+        number = self._known.__getitem__
+        return [np.fromiter(map(number, words), np.int64, len(words)) for words in texts]
