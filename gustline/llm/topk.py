@@ -205,7 +205,7 @@ def top_k(
             yield best.rows()
 
     found = (
-        left.join(right, ["block", "lane", "width"]).drop("block", "lane")
+        left.hint("merge").join(right, ["block", "lane", "width"]).drop("block", "lane")
         .sortWithinPartitions("q_rows")
         .mapInPandas(search, "query_row long, query_id long, vec_id long, score long")
     )
