@@ -13,7 +13,7 @@ from collections import Counter
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gustline.llm.common import WORD, n_words
+from gustline.llm.common import WORD, each_copy, n_words
 from gustline.session import stage
 
 CAPACITY = 2048
@@ -102,7 +102,7 @@ def pack(
     total = counted.agg(F.sum(F.col("n") * (last + 1))).first()[0] or 0
     shards = max(1, -(-total // shard_rows))
     pieces = (
-        counted.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+        each_copy(counted, "n", "copy")
         .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
         .withColumn("from_word", F.col("piece") * capacity)
         .withColumn("words", F.least(F.lit(capacity), F.col("size") - F.col("from_word")).cast("int"))
