@@ -26,7 +26,7 @@ def _learns(doc_id: Column) -> Column:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(_learns(F.col("doc_id")))
-    model = toxicity.fit(docs.join(labels, "doc_id"))
+    model = toxicity.fit(docs, labels)
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), toxicity.score(docs, model).alias("found"))
     return scored.select("doc_id", "held_out", "found.score", "found.windows").select(
         "doc_id", "held_out", "score", F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).alias("predicted"), "windows"

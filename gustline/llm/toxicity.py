@@ -10,16 +10,15 @@ windows carries its label.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gustline.llm.ngrams import WordCache, grams, summed
-from gustline.session import stage
 
 WINDOW = 48
 STRIDE = 32
@@ -27,14 +26,14 @@ SIZES = (3, 4, 5)
 BUCKETS = 1 << 18
 VOCABULARY = 20_000
 CHARS, WORDS, HIDDEN, ATTEND = 8, 8, 12, 12
-SAMPLE = (1500, 3000)  # toxic and other texts
-SAMPLE_WINDOWS = 12
+SAMPLE = (1000, 2000)  # toxic and other texts
+SAMPLE_WINDOWS = 10
 STEPS = 300
 BATCH = 24  # texts of each kind
 SEED = 7
 START = 0.02
 LEAN = 1.0
-DROP = 0.4  # share of words left out of a step
+DROP = 0.2  # share of words left out of a step
 CACHE = 200_000
 _find = re.compile(r"\w+").findall
 
@@ -182,16 +181,20 @@ class Model:
         return [np.array(f) for f in found]
 
 
-def sample_of(labelled: DataFrame, label: str, text: str, sizes: tuple[int, int]) -> pd.DataFrame:
-    """(label, windows): at most ``sizes`` texts of each label, those with the smallest hashes,
-    with at most SAMPLE_WINDOWS windows of words each, spaced evenly over the whole text."""
-    rows = labelled.select(F.col(label).cast("int").alias("label"), F.col(text).alias("text"), F.xxhash64(text).alias("o"))
-    rows = rows.where("label in (0, 1) and text is not null")
-    order = Window.partitionBy("label").orderBy("o")
-    most = F.when(F.col("label") == 1, sizes[0]).otherwise(sizes[1])
-    hashes = stage(rows.groupBy("label", "o").count(), "hashes")
-    cuts = hashes.withColumn("r", F.row_number().over(order)).where(F.col("r") <= most).groupBy("label").agg(F.max("o").alias("cut"))
-    chosen = rows.join(F.broadcast(cuts), "label").where("o <= cut").groupBy("label", "o").agg(F.first("text").alias("text"))
+def sample_of(docs: DataFrame, labels: DataFrame, key: str, label: str, text: str, sizes: tuple[int, int]) -> pd.DataFrame:
+    """(label, windows): at most ``sizes`` different texts of each label, those with the
+    smallest hashes, with at most SAMPLE_WINDOWS windows each, spaced evenly over the whole
+    text; a line is a window, its words stand between blanks. Only hashes meet the labels."""
+    marks = docs.where(F.col(text).isNotNull()).select(key, F.xxhash64(text).alias("o"))
+    known = labels.select(key, F.col(label).cast("int").alias("label")).where("label in (0, 1)")
+    one = marks.join(known, key).groupBy("label", "o").agg(F.min(key).alias(key))
+    toxic, other = (one.where(F.col("label") == y).orderBy("o").limit(n) for y, n in zip((1, 0), sizes))
+    chosen = toxic.union(other)
+    whole = docs.select(key, F.xxhash64(text).alias("o"), F.col(text).alias("text"))
+    texts = (
+        whole.join(F.broadcast(chosen.select(key, "label", "o")), [key, "o"])  # at most sum(sizes) rows
+        .groupBy("label", "o").agg(F.first("text").alias("text"))
+    )
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -200,10 +203,11 @@ def sample_of(labelled: DataFrame, label: str, text: str, sizes: tuple[int, int]
                 words = words_of(t)
                 places = windows_of(len(words))
                 picked = {round(i) for i in np.linspace(0, len(places) - 1, min(len(places), SAMPLE_WINDOWS))}
-                out.append((y, o, [[w[:64] for w in words[slice(*places[i])]] for i in sorted(picked)]))
+                lines = (" ".join(w[:64] for w in words[slice(*places[i])]) for i in sorted(picked))
+                out.append((y, o, "\n".join(lines)))
             yield pd.DataFrame(out, columns=["label", "o", "windows"])
 
-    found = chosen.mapInPandas(cut, "label int, o long, windows array<array<string>>").toPandas()
+    found = texts.mapInPandas(cut, "label int, o long, windows string").toPandas()
     return found.sort_values(["label", "o"], ignore_index=True)
 
 
@@ -214,24 +218,25 @@ def train(sample: pd.DataFrame, steps: int = STEPS, batch: int = BATCH, seed: in
     follows its gradient (Adam; Adagrad for the vectors). The number of steps is fixed, so
     the time does not depend on the corpus.
     """
-    texts = [[[*w] for w in windows] for windows in sample["windows"]]
     kinds = [np.flatnonzero(sample["label"].to_numpy() == y) for y in (1, 0)]
     if not all(map(len, kinds)):
         return None
     rng = np.random.default_rng(seed)
-    spread = Counter(w for windows in texts for w in {w for own in windows for w in own})
+    spread = Counter()
+    for windows in sample["windows"]:
+        spread.update(set(windows.split()))
     listed = sorted(spread)
     number = {w: i + 1 for i, w in enumerate(listed)}
+    encoded = [[np.array([number[w] for w in own.split()], np.int32) for own in windows.split("\n")] for windows in sample["windows"]]
     common = sorted((w for w in listed if spread[w] > 1), key=lambda w: (-spread[w], w))[:VOCABULARY]
     known = {w: i + 1 for i, w in enumerate(common)}
     flat = grams(listed, SIZES, BUCKETS)
-    ids, word = np.concatenate([f[0] for f in flat]), np.concatenate([f[1] for f in flat])
-    by_word = np.argsort(word, kind="stable")
-    ids, counts = ids[by_word], np.bincount(word, minlength=len(listed))
+    word = np.concatenate([f[1] for f in flat])
+    ids = np.concatenate([f[0] for f in flat]).astype(np.int32)[np.argsort(word, kind="stable")]
+    counts = np.bincount(word, minlength=len(listed))
+    del flat, word, number, spread
     begin = np.concatenate([[0], np.cumsum(counts)])
     vocabulary = np.array([0, *(known.get(w, 0) for w in listed)])
-    encoded = [[np.array([number[w] for w in own], np.int64) for own in windows] for windows in texts]
-
     model = Model(
         Network.fresh(rng), (START * rng.standard_normal((BUCKETS, CHARS))).astype(np.float32),
         (START * rng.standard_normal((len(known) + 1, WORDS))).astype(np.float32), known,
@@ -239,21 +244,21 @@ def train(sample: pd.DataFrame, steps: int = STEPS, batch: int = BATCH, seed: in
     # vectors start from how much more often toxic texts have the n-gram or word; those of
     # fewer than two texts say nothing
     label = sample["label"].to_numpy()
-    held = [np.unique(np.concatenate([np.empty(0, np.int64), *own])) for own in encoded]
+    held = [np.unique(np.concatenate(own)) for own in encoded]
 
-    def lean(features: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
-        toxic, other = (
-            np.bincount(np.concatenate([np.empty(0, np.int64), *(features[i] for i in k)]), minlength=size) for k in kinds
-        )
+    def lean(features: Callable[[np.ndarray], np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
+        toxic, other = np.zeros(size), np.zeros(size)
+        for seen, kind in ((toxic, kinds[0]), (other, kinds[1])):
+            for i in kind:
+                seen[np.unique(features(held[i]))] += 1
         both = toxic + other
         odds = np.log((toxic + 0.5) / (len(kinds[0]) + 1)) - np.log((other + 0.5) / (len(kinds[1]) + 1))
         return np.clip(odds * both / (both + 5), -3, 3).astype(np.float32), both > 1
 
-    of_text = [np.unique(np.concatenate([ids[:0], *(ids[begin[w - 1] : begin[w]] for w in own)])) for own in held]
-    odds, shared = lean(of_text, BUCKETS)
+    odds, shared = lean(lambda own: np.concatenate([ids[:0], *(ids[begin[w - 1] : begin[w]] for w in own)]), BUCKETS)
     model.chars[:, 0] += LEAN * odds
     model.chars[~shared] = 0
-    odds, _ = lean([vocabulary[own] for own in held], len(known) + 1)
+    odds, _ = lean(lambda own: vocabulary[own], len(known) + 1)
     model.words[:, 0] += LEAN * odds
     model.words[0] = 0
     momentum = {k: np.zeros_like(w) for k, w in model.network.w.items()}
@@ -321,12 +326,16 @@ def train(sample: pd.DataFrame, steps: int = STEPS, batch: int = BATCH, seed: in
     return model
 
 
-def fit(labelled: DataFrame, label: str = "toxic", text: str = "text", sizes: tuple[int, int] = SAMPLE) -> Model | None:
-    """A model from labelled texts. Rows with a NULL text or a label other than 0 and 1 teach nothing.
+def fit(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", text: str = "text",
+    sizes: tuple[int, int] = SAMPLE,
+) -> Model | None:
+    """A model from texts and their labels. Rows with a NULL key or text, or a label other than
+    0 and 1, teach nothing; without texts of both labels there is no model.
 
     The driver sees at most sum(sizes) * SAMPLE_WINDOWS * WINDOW words of at most 64 characters.
     """
-    return train(sample_of(labelled, label, text, sizes))
+    return train(sample_of(docs, labels, key, label, text, sizes))
 
 
 def score(docs: DataFrame, model: Model | None, text: str = "text", cache: int = CACHE) -> Column:
