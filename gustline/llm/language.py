@@ -101,7 +101,8 @@ def learn(
                 seen = Counter()
                 for t in texts:
                     seen.update(w for w in _words(t.lower()) if len(w) <= 64)
-                yield pd.DataFrame({"lang": name, "word": [*seen], "n": [*seen.values()]}).astype({"n": "int64"})
+                if seen:
+                    yield pd.DataFrame({"lang": name, "word": [*seen], "n": [*seen.values()]}).astype({"n": "int64"})
 
     counted = sample.select("lang", "text").mapInPandas(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     common = Window.partitionBy("lang").orderBy(F.desc("n"), "word")

@@ -122,7 +122,8 @@ def frequent(texts: DataFrame, tokenizer: Broadcast, size: int = TABLE_SIZE, sum
                 if len(seen) > 8 * summary:
                     seen = Counter(dict(seen.most_common(4 * summary)))
         top = [x for x in seen.most_common(summary) if len(x[0]) <= 64 and "\0" not in x[0]]
-        yield pd.DataFrame(top, columns=["token", "count"]).astype({"token": "str", "count": "int64"})
+        if top:
+            yield pd.DataFrame(top, columns=["token", "count"]).astype({"count": "int64"})
 
     return (
         texts.mapInPandas(count, "token string, count long")

@@ -181,8 +181,8 @@ class Model:
         return [np.array(f) for f in found]
 
 
-def sample_of(docs: DataFrame, labels: DataFrame, key: str, label: str, text: str, sizes: tuple[int, int]) -> pd.DataFrame:
-    """(label, windows): at most ``sizes`` different texts of each label, those with the
+def sample_of(docs: DataFrame, labels: DataFrame, key: str, label: str, text: str, sizes: tuple[int, int]) -> tuple[pd.DataFrame, float]:
+    """(label, windows) and the odds of label 1 over all labelled texts: at most ``sizes`` different texts of each label, those with the
     smallest hashes, with at most SAMPLE_WINDOWS windows each, spaced evenly over the whole
     text; a line is a window, its words stand between blanks. Only hashes meet the labels."""
     marks = docs.where(F.col(text).isNotNull()).select(key, F.xxhash64(text).alias("o"))
@@ -208,12 +208,16 @@ def sample_of(docs: DataFrame, labels: DataFrame, key: str, label: str, text: st
             yield pd.DataFrame(out, columns=["label", "o", "windows"])
 
     found = texts.mapInPandas(cut, "label int, o long, windows string").toPandas()
-    return found.sort_values(["label", "o"], ignore_index=True)
+    counts = {r["label"]: r["count"] for r in one.groupBy("label").count().collect()}
+    odds = counts.get(1, 0) / max(1, counts.get(0, 0))
+    return found.sort_values(["label", "o"], ignore_index=True), odds
 
 
-def train(sample: pd.DataFrame, steps: int = STEPS, batch: int = BATCH, seed: int = SEED) -> Model | None:
+def train(sample: pd.DataFrame, odds: float = 1.0, steps: int = STEPS, batch: int = BATCH, seed: int = SEED) -> Model | None:
     """A model from (label, windows); None if one of the labels has no text.
 
+    ``odds`` is the number of toxic texts for every other one where the model will be used.
+
     Every step takes ``batch`` texts of each label, finds each text's worst window, and
     follows its gradient (Adam; Adagrad for the vectors). The number of steps is fixed, so
     the time does not depend on the corpus.
@@ -255,11 +259,11 @@ def train(sample: pd.DataFrame, steps: int = STEPS, batch: int = BATCH, seed: in
         odds = np.log((toxic + 0.5) / (len(kinds[0]) + 1)) - np.log((other + 0.5) / (len(kinds[1]) + 1))
         return np.clip(odds * both / (both + 5), -3, 3).astype(np.float32), both > 1
 
-    odds, shared = lean(lambda own: np.concatenate([ids[:0], *(ids[begin[w - 1] : begin[w]] for w in own)]), BUCKETS)
-    model.chars[:, 0] += LEAN * odds
+    tilt, shared = lean(lambda own: np.concatenate([ids[:0], *(ids[begin[w - 1] : begin[w]] for w in own)]), BUCKETS)
+    model.chars[:, 0] += LEAN * tilt
     model.chars[~shared] = 0
-    odds, _ = lean(lambda own: vocabulary[own], len(known) + 1)
-    model.words[:, 0] += LEAN * odds
+    tilt, _ = lean(lambda own: vocabulary[own], len(known) + 1)
+    model.words[:, 0] += LEAN * tilt
     model.words[0] = 0
     momentum = {k: np.zeros_like(w) for k, w in model.network.w.items()}
     energy = {k: np.zeros_like(w) for k, w in model.network.w.items()}
@@ -323,6 +327,8 @@ def train(sample: pd.DataFrame, steps: int = STEPS, batch: int = BATCH, seed: in
         word_energy[in_vocabulary] += (g * g).mean(axis=1)
         model.words[in_vocabulary] -= 0.1 * g / np.sqrt(word_energy[in_vocabulary])[:, None]
         model.words[0] = 0
+    # batches hold as many toxic texts as others; scores are for texts as they are labelled
+    model.network.w["c"] = model.network.w["c"] + np.float32(np.log(odds))
     return model
 
 
@@ -335,7 +341,7 @@ def fit(
 
     The driver sees at most sum(sizes) * SAMPLE_WINDOWS * WINDOW words of at most 64 characters.
     """
-    return train(sample_of(docs, labels, key, label, text, sizes))
+    return train(*sample_of(docs, labels, key, label, text, sizes))
 
 
 def score(docs: DataFrame, model: Model | None, text: str = "text", cache: int = CACHE) -> Column:
