@@ -20,7 +20,7 @@ WHITESPACE = " \t\n\r\x0b\x0c"
 
 # --- fixed values: the only words that are numbers
 NUMBER_WORD = r"^[+-]?(?i:inf|infinity|nan)$"
-EVENT_TIME = r"^\d{1,2}-[A-Za-z]{3}-\d{2} \d{1,2}:\d{2}:\d{2}$"
+EVENT_TIME = r"^(\d{1,2})-([A-Za-z]{3})-(\d{1,2}) +(\d{1,2}):(\d{1,2}):(\d{1,2})$"
 
 
 def strict_double(text: Column) -> Column:
@@ -30,7 +30,7 @@ def strict_double(text: Column) -> Column:
     character first. It also takes "1d", "1f" and hexadecimal floats; those are not
     numbers in a data file.
     """
-    trimmed = F.trim(text)
+    trimmed = F.btrim(text, F.lit(WHITESPACE))
     plain = F.right(trimmed, F.lit(1)).isin(*"0123456789.")
     plain = plain & ~trimmed.contains("x") & ~trimmed.contains("X")
     word = (F.length(trimmed) >= 3) & trimmed.rlike(NUMBER_WORD)
@@ -39,7 +39,7 @@ def strict_double(text: Column) -> Column:
 
 def negative_number(text: Column) -> Column:
     """True for a number below zero; parses only cells that start with a minus."""
-    below = F.trim(text).startswith("-") & (strict_double(text) < 0)
+    below = F.btrim(text, F.lit(WHITESPACE)).startswith("-") & (strict_double(text) < 0)
     return F.coalesce(below, F.lit(False))
 
 
@@ -54,7 +54,9 @@ def coerced(text: Column) -> Column:
 
 def integer_key(text: Column) -> Column:
     """Text to bigint through double, half-even, NULL when unreadable or out of range."""
-    return F.rint(strict_double(text)).try_cast("bigint")
+    number = F.rint(strict_double(text))
+    # 2^63 as a double would come out as the largest bigint
+    return F.when((number >= -(2.0**63)) & (number < 2.0**63), number.cast("bigint"))
 
 
 def text_or_unknown(text: Column) -> Column:
@@ -74,11 +76,20 @@ def filled_then_stripped(text: Column) -> Column:
 def event_time(text: Column) -> Column:
     """``01-APR-24 10:40:00`` to a timestamp, NULL when unreadable.
 
-    Two-digit years pivot at 69 (69 is 1969); the JVM formatter alone reads 2000-2099.
+    Blanks around it, several between date and time, and one-digit parts are read too. Two-digit years pivot at 69 (69 is 1969); the JVM formatter alone reads 2000-2099.
     """
-    shaped = F.when(text.rlike(EVENT_TIME), text)
+    trimmed = F.btrim(text, F.lit(WHITESPACE))
+
+    def part(group: int) -> Column:
+        return F.lpad(F.regexp_extract(trimmed, EVENT_TIME, group), 2, "0")
+
+    clock = F.concat_ws(":", part(4), part(5), part(6))
+    whole = F.concat(F.concat_ws("-", part(1), F.regexp_extract(trimmed, EVENT_TIME, 2), part(3)), F.lit(" "), clock)
+    # the usual shape needs no rebuilding
+    plain = trimmed.rlike(r"^\d{1,2}-[A-Za-z]{3}-\d{2} \d{1,2}:\d{2}:\d{2}$")
+    shaped = F.when(plain, trimmed).when(trimmed.rlike(EVENT_TIME), whole)
     parsed = F.try_to_timestamp(shaped, F.lit(K.EVENT_TIME_FORMAT))
-    two_digit_year = F.substring(F.split_part(text, F.lit("-"), F.lit(3)), 1, 2)
+    two_digit_year = F.substring(F.split_part(shaped, F.lit("-"), F.lit(3)), 1, 2)
     century = F.make_interval(years=F.lit(100))
     return F.when(two_digit_year >= "69", parsed - century).otherwise(parsed)
 

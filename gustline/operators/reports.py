@@ -59,19 +59,21 @@ def filtered(
 
     With ``empty_fallback`` a filter that matches nothing returns the whole table.
     """
-    out = features
+    matches = F.lit(True)
     for column, wanted, everything in (
         (K.STATE, state, ALL_STATES),
         (K.OWNERSHIP, ownership, ALL_TYPES),
         (K.REGION, region, ALL_REGIONS),
     ):
         if wanted and wanted != everything:
-            out = out.filter(F.col(K.ident(column)) == wanted)
+            matches &= F.col(K.ident(column)) == wanted
     if tiers:
-        out = out.filter(F.col(K.TIER).isin(*tiers))
-    if empty_fallback and out is not features and out.isEmpty():
-        return features
-    return out
+        matches &= F.col(K.TIER).isin(*tiers)
+    matches = F.coalesce(matches, F.lit(False))
+    if not empty_fallback:
+        return features.filter(matches)
+    found = features.filter(matches).agg(F.count(F.lit(1))).scalar()
+    return features.filter(matches | (found == 0))
 
 
 def kpi_row(selected: DataFrame, features: DataFrame) -> DataFrame:

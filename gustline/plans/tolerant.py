@@ -11,10 +11,11 @@ from ..sources.layers import write_table
 
 def clean_file(
     spark: SparkSession, raw_csv: str, parquet_path: str, csv_path: str | None = None,
-    damage_copies: bool = False,
+    damage_copies: bool = False, multi_line: bool = False,
 ) -> DataFrame:
     """Clean a raw file into Parquet and, when asked, a delimited copy."""
-    cleaned = clean_tolerant(well_formed(read_text_columns(spark, raw_csv)), damage_copies)
+    lines = read_text_columns(spark, raw_csv, multi_line)
+    cleaned = clean_tolerant(well_formed(lines), damage_copies)
     write_table(cleaned, parquet_path, "overwrite")
     stored = spark.read.parquet(parquet_path)
     if csv_path is not None:

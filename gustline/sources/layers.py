@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
-from pyspark.errors import AnalysisException
 
 from .. import contract as K
 from .delimited import CORRUPT, malformed, read_text_columns, well_formed
@@ -65,22 +64,23 @@ def land_bronze(
     """Land a delimited file as text columns with lineage; a batch is written once only.
 
     One pass over the file writes the good lines and counts the bad ones; the bad lines
-    are read again and kept only when there are any.
+    are read again and kept only when there are any. ``limit`` keeps that many good lines
+    and changes nothing else: all bad lines are counted and kept.
     """
     path = batch_path(data_dir, BRONZE, EVENTS, batch_id)
     if path_exists(spark, path):
-        raise FileExistsError(f"Bronze batch already exists (append-only): {path}")
+        raise FileExistsError(f"batch {batch_id} has landed before, its Bronze rows stay as they are: {path}")
     lines = read_text_columns(spark, raw_csv, multi_line)
     bad = Observation()
-    landed = with_lineage(lines, batch_id, ingested_at).observe(
-        bad, F.count(F.when(F.col(CORRUPT).isNotNull(), F.lit(1))).alias("lines")
-    )
-    landed = well_formed(landed)
-    if limit is not None:
-        landed = landed.limit(limit)
-    write_table(landed, path)
-    skipped = bad.get["lines"]
-    if skipped and limit is None:
+    count_bad = F.count(F.when(F.col(CORRUPT).isNotNull(), F.lit(1))).alias("lines")
+    landed = with_lineage(lines, batch_id, ingested_at)
+    if limit is None:
+        write_table(well_formed(landed.observe(bad, count_bad)), path)
+        skipped = bad.get["lines"]
+    else:  # a limited read stops early, so the bad lines are counted on their own
+        write_table(well_formed(landed).limit(limit), path)
+        skipped = lines.select(CORRUPT, lines.columns[0]).agg(count_bad).first()["lines"]
+    if skipped:
         rejects = batch_path(data_dir, BRONZE, REJECTED_LINES, batch_id)
         write_table(malformed(lines), rejects)
     rows = spark.read.parquet(path).count()
@@ -95,8 +95,7 @@ def existing_tables(
         (BRONZE, EVENTS), (SILVER, EVENTS), (SILVER, QUARANTINE),
         (GOLD, FEATURES), (GOLD, STATE_SUMMARY),
     ):
-        try:
-            df = read_batch(spark, data_dir, layer, table, batch_id)
-        except AnalysisException:
+        if not path_exists(spark, batch_path(data_dir, layer, table, batch_id)):
             continue
+        df = read_batch(spark, data_dir, layer, table, batch_id)
         yield layer, table, silver_contract(df) if (layer, table) == (SILVER, EVENTS) else df

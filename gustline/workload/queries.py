@@ -121,14 +121,15 @@ def malformed_lines(spark, sf_dir):
 
 @query
 def publish_counts(spark, sf_dir):
-    """Two batches published twice each into one partitioned table; rows per batch."""
+    """All orders in batches by status, two of them published twice; rows per batch."""
     location = _scratch(spark, "published/orders")
     orders = P.snake_columns(feed.tables(spark, sf_dir)("orders"))
-    for batch, status in (("b1", "F"), ("b2", "O"), ("b1", "F"), ("b2", "O")):
-        P.publish_table(orders.filter(F.col("o_orderstatus") == status), location, batch)
+    of = F.when(F.col("o_orderstatus") == "F", "b1").when(F.col("o_orderstatus") == "O", "b2")
+    of = of.otherwise("b3")
+    for batch in ("b1", "b2", "b3", "b1", "b2"):
+        P.publish_table(orders.filter(of == batch), location, batch)
     expected = (
-        orders.filter(F.col("o_orderstatus").isin("F", "O"))
-        .groupBy(F.when(F.col("o_orderstatus") == "F", "b1").otherwise("b2").alias("batch_id"))
+        orders.groupBy(of.alias("batch_id"))
         .agg(F.count(F.lit(1)).alias("expected_rows"))
     )
     return Q.reconcile_counts(spark.read.parquet(location), expected)

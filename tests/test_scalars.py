@@ -85,3 +85,26 @@ def test_risk_verdict(spark):
     assert [r["confidence"] for r in rows] == ["High", "Low", "Low", "Medium", "High"]
     assert [r["risk_label"] for r in rows][:3] == ["High Risk", "High Risk", "Medium/Low Risk"]
     assert "(probability: 80.00%). Recommend" in rows[0]["message"]
+
+
+def test_loose_times_numbers_and_keys(spark):
+    """Texts that a lenient reader takes: blanks, one-digit parts; and a key out of range."""
+    from gustline.functions import scalars as S
+
+    times = ["1-APR-24 1:4:0", " 01-APR-24 10:40:00", "01-APR-24 10:40:00 ", "01-APR-24  10:40:00", "01-APR-4 10:40:00", "01-APR-24"]
+    rows = spark.createDataFrame([(t,) for t in times], "t string").select(S.event_time(F.col("t")).cast("string").alias("x"))
+    late = "2024-04-01 10:40:00"
+    assert [r["x"] for r in rows.collect()] == ["2024-04-01 01:04:00", late, late, late, "2004-04-01 10:40:00", None]
+    cells = spark.createDataFrame([("7\n",), ("9223372036854775807",), ("-9223372036854775808",), ("8.5",)], "t string")
+    got = cells.select(S.strict_double(F.col("t")).alias("d"), S.integer_key(F.col("t")).alias("k")).collect()
+    assert [r["k"] for r in got] == [7, None, -(2**63), 8] and got[0]["d"] == 7.0
+
+
+def test_fingerprint_sees_a_shifted_value(spark):
+    from gustline.operators.quality import table_fingerprint
+
+    prints = [
+        table_fingerprint(spark.createDataFrame([row], "a string, b string")).first()["fingerprint"]
+        for row in (("x", None), (None, "x"), ("x", None))
+    ]
+    assert prints[0] == prints[2] != prints[1]
