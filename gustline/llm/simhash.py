@@ -25,6 +25,7 @@ from gustline.session import stage
 SEED = 42
 SHINGLE = 3
 MAX_BITS = 3
+CELL_ROWS = 1 << 15
 _PIECE = 1 << 16
 
 
@@ -150,10 +151,34 @@ def _links(cell: np.ndarray, fp: np.ndarray, own: np.ndarray, max_bits: int) ->
     return fp[left], fp[right]
 
 
-def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def _split(cells: DataFrame, cell_rows: int) -> DataFrame:
+    """``cells`` with large cells cut into pairs of blocks of about ``cell_rows`` rows.
+
+    Every two rows of a cell meet in the pair of their blocks, so nothing is lost, and no task
+    holds more than two blocks. A pair's name is a hash: two pairs of one name compare more
+    rows than they need to, and each link is verified anyhow.
+    """
+    large = stage(
+        cells.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > cell_rows)
+        .select("cell", F.ceil(F.col("n") / cell_rows).alias("blocks")),
+        "large-cells",
+    )
+    met = cells.join(large, "cell", "left")
+    few = met.where("blocks is null").select("cell", "fp", "own")
+    block = F.pmod(F.xxhash64("fp"), F.col("blocks"))
+    many = (
+        met.where("blocks is not null").withColumn("b", block)
+        .withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select(F.xxhash64("cell", F.least("b", "o"), F.greatest("b", "o")).alias("cell"), "fp", "own")
+    )
+    return few.union(many)
+
+
+def near_links(prints: DataFrame, max_bits: int = MAX_BITS, cell_rows: int = CELL_ROWS) -> DataFrame:
     """(a, b): links between distinct fingerprints ``fp`` that differ in at most ``max_bits``
     bits, as a spanning forest of each grid cell: the same components as all links, without
-    all pairs of a large group. Exact for ``max_bits`` up to 3."""
+    all pairs of a large group. Exact for ``max_bits`` up to 3. Cells of more than ``cell_rows``
+    rows are compared in pairs of blocks, by many tasks."""
     if not 0 <= max_bits <= 3:
         raise ValueError("the grid with one step per half is exact for at most 3 bits")
 
@@ -179,7 +204,7 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                 rest = rest[~whole].reset_index(drop=True)
         yield found(none if rest is None else rest)
 
-    cells = _cells(prints.select("fp").distinct())
+    cells = _split(_cells(prints.select("fp").distinct()), cell_rows)
     n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         cells.repartition(n, "cell").sortWithinPartitions("cell", "fp")
@@ -205,8 +230,8 @@ def near_duplicates(
 
     Copies collapse to one row per fingerprint (combined before the shuffle) before any
     search, so a text that makes up a third of the table costs one fingerprint. A cell of the
-    grid holds distinct fingerprints only: its time grows with their square, its memory and
-    what it returns with their number.
+    grid holds distinct fingerprints only; comparisons grow with their square, but a large
+    cell's are shared out to many tasks of bounded memory.
     """
     prints = stage(docs.select(F.col(key).alias("key"), fingerprint(F.col(text), shingle).alias("fp")), "prints")
     return with_components(prints, max_bits).select(
