@@ -1,9 +1,9 @@
 """Mixing sources to target weights in fixed-length blocks of words.
 
 A source's documents, one after another, are one run of words, cut into blocks of equal
-length. Output shards draw how many of their slots each source fills; the slots of a source,
-counted over all shards, run through pseudorandom permutations of its block numbers, one per
-pass; and slots meet blocks by that number. Only DataFrame functions are used.
+length. Output shards draw how many of their slots each source fills; a source's draws run
+through pseudorandom permutations of its block numbers, one per pass; and draws meet blocks
+by that number. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -116,46 +116,28 @@ def placed(docs: DataFrame, source: str, text: str, key: str) -> tuple[DataFrame
 def slots(sources: DataFrame, block: int = BLOCK, per_shard: int = SLOTS, seed: int = SEED) -> DataFrame:
     """(source_no, block_no, shard, slot, pass) from (source_no, source_size, target).
 
-    Every shard draws a multinomial count per source by laying one random comb of ``per_shard``
-    equally spaced points (shifted by the shard's random number) over the sources' shares: the
-    counts have the multinomial's means and never miss them by a whole slot, so the totals
-    come near the targets however many shards there are. A source's slots are numbered over
-    all shards; number t takes block ``permuted(t mod blocks)`` of pass ``t div blocks``.
+    A shard's counts are a multinomial draw of its slots, on the condition that all shards'
+    counts add up to the sources' targets: every source has a whole number of draws, and one
+    permutation of all draws says which slot of which shard each of them fills. (Without the
+    condition, small tables miss targets by a tenth.) No count meets another shard's. Draw
+    number t of a source takes block ``permuted(t mod blocks)`` of pass ``t div blocks``.
     """
-    whole, run = Window.partitionBy(), Window.orderBy("source_no")
+    run = Window.orderBy("source_no")  # one row per source
     shares = (
         sources.withColumn("blocks", F.ceil(F.col("source_size") / block).cast("long"))
-        .withColumn("wanted", F.col("target") / F.greatest(F.col("source_size"), F.lit(1)) * F.col("blocks"))
-        .withColumn("high", F.sum("wanted").over(run))
-        .withColumn("low", F.col("high") - F.col("wanted"))
-        .withColumn("n", F.round(F.sum("wanted").over(whole)).cast("long"))
-        .where("n > 0 and blocks > 0")
-        .select(
-            "source_no", "blocks", "n", (F.col("low") / F.sum("wanted").over(whole)).alias("low"),
-            (F.col("high") / F.sum("wanted").over(whole)).alias("high"), "wanted",
-        )
-    )
-    shards = F.ceil(F.col("n") / per_shard)
-    drawn = (
-        shares.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), shards - 1)))
-        .withColumn("points", F.least(F.lit(per_shard).cast("long"), F.col("n") - F.col("shard") * per_shard))
-        .withColumn("shift", F.pmod(F.xxhash64(F.lit(seed), F.col("shard")), F.lit(1 << 30)) / F.lit(float(1 << 30)))
-        # points (j + shift) / points inside [low, high)
-        .withColumn("from", F.greatest(F.lit(0), F.ceil(F.col("low") * F.col("points") - F.col("shift"))))
-        .withColumn("to", F.least(F.col("points"), F.ceil(F.col("high") * F.col("points") - F.col("shift"))))
-        .withColumn("count", F.greatest(F.lit(0), F.col("to") - F.col("from")))
+        .withColumn("draws", F.round(F.col("target") / F.greatest(F.col("source_size"), F.lit(1)) * F.col("blocks")).cast("long"))
+        .withColumn("before", F.sum("draws").over(run) - F.col("draws"))
+        .withColumn("all", F.sum("draws").over(Window.partitionBy()))
+        .where("draws > 0 and blocks > 0")
     )
-    earlier = Window.partitionBy("source_no").orderBy("shard")
-    counted = stage(drawn.withColumn("first", F.sum("count").over(earlier) - F.col("count")).where("count > 0"), "draws")
-    # few rows that become many: dealt to as many tasks as any shuffle
-    spread = counted.repartition(int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source_no", "shard")
-    each = spread.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1))).withColumn("t", F.col("first") + F.col("j"))
-    # a comb may give a source at its limit one slot more than it has blocks to give
-    within = each.where(F.col("t") < F.ceil(F.col("wanted")))
     turn = F.floor(F.col("t") / F.col("blocks"))
-    return within.select(
-        "source_no", permuted(F.col("t") % F.col("blocks"), F.col("blocks"), F.col("source_no"), turn).alias("block_no"),
-        "shard", (F.col("from") + F.col("j")).alias("slot"), turn.alias("pass"),
+    place = permuted(F.col("before") + F.col("t"), F.col("all"), F.lit("slots"), seed=seed)
+    return (
+        each_copy(shares, "draws", "t").withColumn("place", place)
+        .select(
+            "source_no", permuted(F.col("t") % F.col("blocks"), F.col("blocks"), F.col("source_no"), turn, seed=seed).alias("block_no"),
+            F.floor(F.col("place") / per_shard).alias("shard"), (F.col("place") % per_shard).alias("slot"), turn.alias("pass"),
+        )
     )
 
 
@@ -167,8 +149,8 @@ def mix(
 
     ``placements`` lists where its blocks went: array<struct<shard, slot, pass, from_word,
     words>>, words counted in the document; ``taken`` is their sum. A source's taken words
-    miss its target by less than a block for every shard, and no document is taken more than
-    MOST_PASSES times. Reruns agree: every draw is a hash. NULL text and text without words
+    miss its target by less than two blocks, and no document is taken more than MOST_PASSES
+    times. Reruns agree: every draw is a hash. NULL text and text without words
     has size 0 and nothing taken; a NULL source is a source; repeated rows are rows of their
     own; other columns are not read; an empty table gives an empty table. ``text_hash`` is the
     text's ``xxhash64``.
@@ -184,7 +166,7 @@ def mix(
     end = F.least(F.col("size"), (F.col("block_no") + 1) * block - F.col("start"))
     cut = pieces.select("source_no", "start", "block_no", begin.alias("from_word"), (end - begin).alias("words"))
     # both sides grow with the corpus, whatever their sizes before they are exploded
-    met = cut.join(slots(wanted, block, per_shard, seed).hint("merge"), ["source_no", "block_no"])
+    met = cut.join(slots(wanted, block, per_shard, seed=seed).hint("merge"), ["source_no", "block_no"])
     found = met.groupBy(F.col("source_no").alias("no"), F.col("start").alias("at")).agg(
         F.sum("words").alias("taken"),
         F.array_sort(F.collect_list(F.struct("shard", "slot", "pass", "from_word", "words"))).alias("placements"),

@@ -73,6 +73,19 @@ def test_large_cells_lose_no_link():
             assert forest.root(i) == forest.root(int(j))
 
 
+def test_cells_in_blocks_give_the_same_groups(spark):
+    rng = np.random.default_rng(2)
+    fp = {5 ^ sum(1 << int(b) for b in rng.integers(0, 40, rng.integers(0, 5))) for _ in range(600)}
+    table = spark.createDataFrame([(x,) for x in fp], "fp long")
+
+    def groups(cell_rows):
+        links = simhash.near_links(table, 3, cell_rows)
+        return sorted(map(tuple, components.connected_components(links).collect()))
+
+    whole = groups(1 << 15)
+    assert whole and groups(7) == whole
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 140)] + [(7, 7), (3, 2), (3, 2)]
     random.Random(0).shuffle(edges)
@@ -180,7 +193,11 @@ def test_mix_meets_targets(spark, docs, empty):
         target = 2 * size[s] if s in full else weight[s] * level
         assert {round(r["target"], 6) for r in own} == {round(float(target), 6)} and {r["source_size"] for r in own} == {size[s]}
         assert abs(sum(r["taken"] for r in own) - target) <= 3 * mixing.BLOCK
-    used = [(p["shard"], p["slot"]) for r in found for p in r["placements"] or []]
+    used = {(p["shard"], p["slot"]): r["source"] for r in found for p in r["placements"] or []}
+    counts = [sum(s == "hot" for (shard, _), s in used.items() if shard == n) for n in range(max(used)[0])]
+    share = sum(s == "hot" for s in used.values()) / len(used)
+    spread = np.mean([(c - 256 * share) ** 2 for c in counts]) / (256 * share * (1 - share))
+    assert len(counts) > 8 and 0.2 < spread < 3  # shards' counts vary as draws do
     assert all(sum(p["words"] for p in r["placements"] or []) == r["taken"] for r in found) and used
     again = mixing.mix(table.repartition(7), per_shard=256).collect()
     assert sorted(map(str, again)) == sorted(map(str, found))
