@@ -118,20 +118,6 @@ def half_even(value: Column, digits: int = 0) -> Column:
     return F.rint(value * F.lit(scale)) / F.lit(scale)
 
 
-def stable_sum(value: Column) -> Column:
-    """Sum of doubles that does not depend on the order rows arrive in.
-
-    Adds at ten decimals; values outside that range (or infinite) add as doubles.
-    """
-    number = value.cast("double")
-    exact = F.sum(number.try_cast("decimal(28,10)")).cast("double")
-    return F.when(F.max(F.abs(number)) < 1e17, exact).otherwise(F.sum(number))
-
-
-def stable_mean(value: Column) -> Column:
-    return stable_sum(value) / F.count(value)
-
-
 def region_flag(text: Column, mode: str = "numeric") -> Column:
     """``numeric``: coerced number, so ``Y`` is 0.0. ``yes_no``: ``Y`` and ``1`` are 1.0."""
     if mode == "numeric":

@@ -31,6 +31,7 @@ STATE_CENTROIDS = {
 }
 DEFAULT_CENTROID = (39.5, -98.35)
 JITTER_DEGREES = (1.5, 2.0)
+SPREAD = 32
 
 
 def centroid_table(spark: SparkSession) -> DataFrame:
@@ -59,21 +60,32 @@ def with_location(
 
 
 def exposure_join(
-    territory: DataFrame, events: DataFrame, keys: Sequence[str], spread: int = 1
+    territory: DataFrame, events: DataFrame, keys: Sequence[str], spread: int = SPREAD
 ) -> DataFrame:
     """Inner equi join: one row per (territory row, event) that share ``keys``.
 
-    ``spread`` > 1 splits every key over that many reducers: each event takes one lane
-    by its content and the territory side is repeated once per lane. Use it when a few
-    keys hold much of the events and the territory side is the smaller one.
+    Keys with more events than a shuffle partition holds on average are hot: fewer than
+    there are partitions, which bounds what is broadcast. Each of their events takes one of
+    ``spread`` lanes by its content, and their territory rows are repeated once per lane.
+    All other keys join as they are.
     """
     if spread <= 1:
         return territory.join(events, list(keys), "inner")
-    lane = F.pmod(F.xxhash64(*[K.ident(c) for c in events.columns]), F.lit(spread)).cast("int")
-    lanes = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
+    partitions = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    hot = F.broadcast(
+        counts.filter(F.col("_n") * partitions > total).select(*keys, F.lit(spread).alias("_lanes"))
+    )
+    lanes = F.coalesce("_lanes", F.lit(1))
+    lane = F.pmod(F.xxhash64(*[K.ident(c) for c in events.columns]), lanes).cast("int")
+    repeated = F.explode(F.sequence(F.lit(0), lanes - 1))
     return (
-        territory.withColumn("_lane", lanes)
-        .join(events.withColumn("_lane", lane), [*keys, "_lane"], "inner")
+        territory.join(hot, list(keys), "left").withColumn("_lane", repeated).drop("_lanes")
+        .join(
+            events.join(hot, list(keys), "left").withColumn("_lane", lane).drop("_lanes"),
+            [*keys, "_lane"],
+        )
         .drop("_lane")
     )
 

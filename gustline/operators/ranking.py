@@ -1,11 +1,10 @@
 """Ranks, quantiles and score metrics that never sort the rows in one task.
 
 All of them stand on one idea: aggregate the rows to one row per distinct value
-(map-side combine removes any hot value before the shuffle), store that, and take a
-running total over the values. Up to SMALL_VALUES distinct values, counted after
-they are stored, one window per ranked column does it. Beyond that the values are
-cut into range buckets: a bucket is a deterministic function of the value and a
-short list of cut points, so a retried task lands in the same place.
+(map-side combine removes any hot value before the shuffle), deal those into value
+ranges with Spark's range partitioning, and store them with the range's number. Running
+totals are then taken inside the ranges and over the ranges' sums. The same plan serves
+every size; what a task holds is a range.
 """
 
 from __future__ import annotations
@@ -13,16 +12,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import contract as K
 from ..session import stage
 
-SMALL_VALUES = 1_000_000
-MAX_BUCKETS = 4096
-# A value is hot when it holds more than 1/HOT_SHARE of the rows, so at most
-# HOT_SHARE - 1 values can be hot: that bounds what gets broadcast.
-HOT_SHARE = 64
 SPREAD = 256
 
 VALUE, BUCKET, SERIES = "_value", "_bucket", "_series"
@@ -32,17 +26,8 @@ def missing_as_null(value: Column) -> Column:
     return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
 
 
-def _bucket_of(value: Column, cuts: Column, buckets: int) -> Column:
-    """How many cut points are <= value, by halving; NULL goes behind the last bucket."""
-    steps = [1 << i for i in reversed(range(buckets.bit_length()))]
-    found = F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, step: F.when(
-            (at + step <= F.size(cuts)) & (F.get(cuts, at + step - 1) <= value), at + step
-        ).otherwise(at),
-    )
-    return F.when(value.isNull(), F.lit(buckets)).otherwise(found)
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _matches(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
@@ -50,41 +35,20 @@ def _matches(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
 
 
 def running_totals(
-    values: DataFrame,
-    measures: Sequence[str],
-    by: Sequence[str] = (),
-    small_values: int | None = None,
-    rows: int | None = None,
+    values: DataFrame, measures: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
     """Add ``<m>_before`` (sum over smaller values) and ``<m>_total`` per group.
 
-    ``values`` is a stored table with one row per (``by``, ``_value``); pass ``rows``
-    when they are counted already. NULL counts as the largest value.
+    ``values`` has one row per (``by``, ``_value``). NULL counts as the largest value.
     """
-    limit = SMALL_VALUES if small_values is None else small_values
-    smaller = Window.orderBy(F.col(VALUE).asc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    if (values.count() if rows is None else rows) <= limit:
-        return values.withColumns(
-            {
-                f"{m}_before": F.sum(m).over(smaller.partitionBy(*by)) - F.col(m)
-                for m in measures
-            }
-            | {f"{m}_total": F.sum(m).over(Window.partitionBy(*by)) for m in measures}
-        )
-
-    buckets = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(2, min(buckets, MAX_BUCKETS))
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = values.agg(F.percentile_approx(VALUE, shares, 20 * buckets)).scalar()
-    tagged = (
-        values.withColumn("_cuts", cuts)
-        .withColumn(BUCKET, _bucket_of(F.col(VALUE), F.col("_cuts"), buckets))
-        .drop("_cuts")
+    order = [*[F.col(b) for b in by], F.col(VALUE).asc_nulls_last()]
+    ranged = stage(
+        values.repartitionByRange(shuffle_partitions(values.sparkSession), *order)
+        .withColumn(BUCKET, F.spark_partition_id()),
+        "value-ranges",
     )
-    per_bucket = tagged.groupBy(*by, BUCKET).agg(*[F.sum(m).alias(m) for m in measures])
-    # At most (number of groups) x (buckets + 1) rows reach these windows.
+    per_bucket = ranged.groupBy(*by, BUCKET).agg(*[F.sum(m).alias(m) for m in measures])
+    # One row per range, and one more for each group that begins inside a range.
     group = Window.partitionBy(*by)
     earlier = group.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
@@ -93,11 +57,14 @@ def running_totals(
         *[F.sum(m).over(earlier).alias(f"{m}_offset") for m in measures],
         *[F.sum(m).over(group).alias(f"{m}_total") for m in measures],
     )
-    joined = tagged.join(offsets, _matches(tagged, offsets, [*by, BUCKET]), "inner").select(
-        tagged["*"],
+    joined = ranged.join(offsets, _matches(ranged, offsets, [*by, BUCKET]), "inner").select(
+        ranged["*"],
         *[offsets[f"{m}_{part}"] for m in measures for part in ("offset", "total")],
     )
-    inside = smaller.partitionBy(*by, BUCKET)
+    inside = (
+        Window.partitionBy(*by, BUCKET).orderBy(F.col(VALUE).asc_nulls_last())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     before = {
         f"{m}_before": F.coalesce(F.col(f"{m}_offset"), F.lit(0))
         + F.sum(m).over(inside) - F.col(m)
@@ -107,7 +74,7 @@ def running_totals(
 
 
 def _counts(df: DataFrame, columns: Sequence[str], by: Sequence[str], missing: bool) -> DataFrame:
-    """Stored row counts per (series, group, value); a series is one of ``columns``."""
+    """Row counts per (series, group, value); a series is one of ``columns``."""
     series = F.array(
         *[
             F.struct(F.lit(i).alias(SERIES), missing_as_null(F.col(K.ident(c))).alias(VALUE))
@@ -117,24 +84,19 @@ def _counts(df: DataFrame, columns: Sequence[str], by: Sequence[str], missing: b
     long = df.select(*by, F.inline(series))
     if not missing:
         long = long.filter(F.col(VALUE).isNotNull())
-    counts = long.groupBy(*by, SERIES, VALUE).agg(F.count(F.lit(1)).alias("n"))
-    return stage(counts, "value-counts")
+    return long.groupBy(*by, SERIES, VALUE).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _attach_by_value(
-    rows: DataFrame, looked_up: DataFrame, key: Sequence[str], out: str, small: bool
+    rows: DataFrame, looked_up: DataFrame, key: Sequence[str], out: str
 ) -> DataFrame:
     """Left-join one value per ``_value`` onto ``rows`` without a hot reducer.
 
-    A lookup of checked size is broadcast whole. Otherwise the hot values (fewer than
-    HOT_SHARE rows) are broadcast and their rows spread over SPREAD lanes in the
-    shuffle that serves all other values.
+    A value is hot if it holds more rows than a shuffle partition does on average; there
+    are fewer of those than partitions, which bounds what is broadcast. Their rows are
+    spread over SPREAD lanes in the shuffle that serves all other values.
     """
-    if small:
-        found = F.broadcast(looked_up.select(F.col(VALUE).alias("_found"), out))
-        return rows.join(found, F.col(VALUE).eqNullSafe(F.col("_found")), "left").drop("_found")
-
-    is_hot = F.col("n") * HOT_SHARE > F.col("n_total")
+    is_hot = F.col("n") * shuffle_partitions(rows.sparkSession) > F.col("n_total")
     hot = looked_up.filter(is_hot).select(
         F.col(VALUE).alias("_hot"), F.col(out).alias("_hot_out")
     )
@@ -162,10 +124,7 @@ def _attach_by_value(
 
 
 def with_percent_rank(
-    df: DataFrame,
-    columns: Mapping[str, str],
-    key: Sequence[str],
-    small_values: int | None = None,
+    df: DataFrame, columns: Mapping[str, str], key: Sequence[str]
 ) -> DataFrame:
     """Average-tie percentile rank: mean rank of the tie group / row count.
 
@@ -173,17 +132,13 @@ def with_percent_rank(
     Missing values (NULL or NaN) rank last as one tie group. ``df`` is read again for
     the counts: pass a stored or staged table.
     """
-    limit = SMALL_VALUES if small_values is None else small_values
-    counts = _counts(df, list(columns.values()), (), missing=True)
-    rows_counted = counts.count()
-    small = rows_counted <= limit
-    totals = running_totals(counts, ["n"], [SERIES], limit, rows_counted)
+    totals = running_totals(_counts(df, list(columns.values()), (), missing=True), ["n"], [SERIES])
     out = df
     for i, (name, column) in enumerate(columns.items()):
         rank = F.col("n_before") + (F.col("n") + 1) / F.lit(2.0)
         ranked = totals.filter(F.col(SERIES) == i).withColumn(name, rank / F.col("n_total"))
         rows = out.withColumn(VALUE, missing_as_null(F.col(K.ident(column))))
-        out = _attach_by_value(rows, ranked, [K.ident(k) for k in key], name, small).drop(VALUE)
+        out = _attach_by_value(rows, ranked, [K.ident(k) for k in key], name).drop(VALUE)
     return out
 
 
@@ -192,12 +147,11 @@ def exact_quantiles(
     column: str,
     shares: Sequence[float],
     by: Sequence[str] = (),
-    small_values: int | None = None,
 ) -> DataFrame:
     """Linear-interpolated quantiles, one array column ``q`` per group (missing ignored)."""
     groups = [K.ident(b) for b in by]
     counts = _counts(df, [column], groups, missing=False)
-    totals = running_totals(counts, ["n"], groups, small_values)
+    totals = running_totals(counts, ["n"], groups)
     first, behind = F.col("n_before"), F.col("n_before") + F.col("n")
     ends = []
     for i, share in enumerate(shares):
@@ -244,7 +198,7 @@ def _score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
         F.sum((F.col("y") == 1).cast("bigint")).alias("pos"),
         F.sum((F.col("y") == 0).cast("bigint")).alias("neg"),
     )
-    return running_totals(stage(counts, "score-counts"), ["pos", "neg"])
+    return running_totals(counts, ["pos", "neg"])
 
 
 def precision_recall_points(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -292,12 +246,10 @@ def binary_metrics(
     )
 
 
-def column_medians(
-    df: DataFrame, columns: Sequence[str], small_values: int | None = None
-) -> dict[str, float]:
+def column_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Exact medians of several columns from one stored count table."""
     counts = _counts(df, columns, (), missing=False)
-    totals = running_totals(counts, ["n"], [SERIES], small_values)
+    totals = running_totals(counts, ["n"], [SERIES])
     first, behind = F.col("n_before"), F.col("n_before") + F.col("n")
     last = F.col("n_total") - 1
     low, high = F.floor(last / 2.0), F.ceil(last / 2.0)

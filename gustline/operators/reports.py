@@ -78,13 +78,13 @@ def filtered(
 
 def kpi_row(selected: DataFrame, features: DataFrame) -> DataFrame:
     """Headline numbers of a selection, with its SAIDI distance to the whole table."""
-    overall = features.agg(S.stable_mean(F.col(K.SAIDI))).scalar()
+    overall = features.agg(F.avg(F.col(K.SAIDI))).scalar()
     row = selected.agg(
         F.count(F.lit(1)).alias("utilities"),
         _count_high().alias("high_risk"),
         F.count_distinct(K.STATE).alias("states"),
-        S.stable_mean(F.col(K.SAIDI)).alias("avg_saidi"),
-        S.stable_sum(F.col(K.LOSS)).alias("annual_loss_usd"),
+        F.avg(F.col(K.SAIDI)).alias("avg_saidi"),
+        F.sum(F.col(K.LOSS)).alias("annual_loss_usd"),
         F.sum(K.BREACH).cast("bigint").alias("sla_breaches"),
         F.sum(K.EVENT_COUNT).cast("bigint").alias("storm_events"),
     )
@@ -112,9 +112,9 @@ def top_findings(selected: DataFrame) -> DataFrame:
     rows = F.count(F.lit(1))
     state = leader(high, K.STATE, rows).scalar()
     ownership = leader(high, K.OWNERSHIP, rows).scalar()
-    region = leader(selected, K.REGION, S.stable_mean(F.col(K.SAIDI))).scalar()
+    region = leader(selected, K.REGION, F.avg(F.col(K.SAIDI))).scalar()
     absent = F.lit("N/A")
-    return selected.agg((S.stable_sum(F.col(K.LOSS)) / F.lit(1e9)).alias("loss_billion_usd")).select(
+    return selected.agg((F.sum(F.col(K.LOSS)) / F.lit(1e9)).alias("loss_billion_usd")).select(
         F.coalesce(state.getField("name"), absent).alias("top_state"),
         F.coalesce(state.getField("measure"), F.lit(0)).alias("top_state_high_risk"),
         F.coalesce(ownership.getField("name"), absent).alias("top_ownership"),
@@ -126,10 +126,10 @@ def top_findings(selected: DataFrame) -> DataFrame:
 def state_metric(selected: DataFrame, metric: str) -> DataFrame:
     """One value per state: mean SAIDI, high-risk percent, damage in B or loss in M."""
     value = {
-        "saidi": S.stable_mean(F.col(K.SAIDI)),
+        "saidi": F.avg(F.col(K.SAIDI)),
         "highrisk": F.lit(100.0) * _count_high() / F.count(F.lit(1)),
-        "damage": S.stable_sum(F.col(K.TOTAL_DAMAGE)) / F.lit(1e9),
-    }.get(metric, S.stable_sum(F.col(K.LOSS)) / F.lit(1e6))
+        "damage": F.sum(F.col(K.TOTAL_DAMAGE)) / F.lit(1e9),
+    }.get(metric, F.sum(F.col(K.LOSS)) / F.lit(1e6))
     return (
         selected.filter(F.col(K.STATE).isNotNull())
         .groupBy(F.col(K.STATE).alias("state"))
@@ -164,7 +164,7 @@ def tier_quantiles(selected: DataFrame, column: str = K.SAIDI) -> DataFrame:
     kept = kept.select(K.TIER, column)
     spots = exact_quantiles(kept, column, [0.0, 0.25, 0.5, 0.75, 1.0], by=[K.TIER])
     sizes = kept.groupBy(K.TIER).agg(
-        F.count(F.lit(1)).alias("utilities"), S.stable_mean(F.col(column)).alias("mean")
+        F.count(F.lit(1)).alias("utilities"), F.avg(F.col(column)).alias("mean")
     )
     names = ("minimum", "q25", "median", "q75", "maximum")
     return sizes.join(spots, K.TIER).select(
@@ -198,10 +198,10 @@ def region_heat(selected: DataFrame, k: int = 10) -> DataFrame:
         within_top_categories(selected, K.REGION, k)
         .groupBy(F.col(K.ident(K.REGION)).alias("region"))
         .agg(
-            S.stable_mean(F.col(K.SAIDI)).alias("avg_saidi"),
+            F.avg(F.col(K.SAIDI)).alias("avg_saidi"),
             (F.sum(K.LABEL) / F.count(K.LABEL)).alias("pct_high"),
             (F.sum(K.EVENT_COUNT) / F.count(K.EVENT_COUNT)).alias("avg_storms"),
-            (S.stable_mean(F.col(K.LOSS)) / F.lit(1e6)).alias("avg_loss_musd"),
+            (F.avg(F.col(K.LOSS)) / F.lit(1e6)).alias("avg_loss_musd"),
         )
     )
     scaled = min_max_scaled(means, ["avg_saidi", "pct_high", "avg_storms", "avg_loss_musd"])
@@ -220,7 +220,7 @@ def region_radar(selected: DataFrame, k: int = 7) -> DataFrame:
     means = (
         within_top_categories(selected, K.REGION, k)
         .groupBy(F.col(K.ident(K.REGION)).alias("region"))
-        .agg(*[S.stable_mean(F.col(c)).alias(name) for name, c in dims.items()])
+        .agg(*[F.avg(F.col(c)).alias(name) for name, c in dims.items()])
     )
     return min_max_scaled(means, list(dims), suffix="").orderBy("region")
 
@@ -243,6 +243,11 @@ def bubble_points(selected: DataFrame) -> DataFrame:
             F.coalesce(F.col(K.ident(K.NAME)), F.lit("")),
             F.lit(" | State: "),
             F.coalesce(F.col(K.STATE), F.lit("")),
+            F.lit(" | SAIDI: "),
+            S.half_even(F.col(K.SAIDI), 1).cast("string"),
+            F.lit(" min/yr | Loss: $"),
+            S.half_even(F.col("loss_musd"), 1).cast("string"),
+            F.lit("M"),
         ).alias("hover"),
     )
 

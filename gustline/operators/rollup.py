@@ -21,26 +21,18 @@ def numeric_flags(silver: DataFrame, flag_mode: str = "numeric") -> DataFrame:
     )
 
 
-def utility_rollup(
-    silver: DataFrame, flag_mode: str = "numeric", sum_mode: str = "double"
-) -> DataFrame:
+def utility_rollup(silver: DataFrame, flag_mode: str = "numeric") -> DataFrame:
     """One row per utility number from the columns that are present.
 
     Identity: first known value by ``_row_id`` (smallest value without that column).
     Reliability, magnitude and flags: maximum. Damage and harm: sum. Event types:
     count. Months: distinct count. Rows without a utility number are left out.
 
-    ``sum_mode="decimal"`` adds money at four decimals, so totals do not depend on how
-    rows are spread over tasks; ``"double"`` adds binary numbers. Totals that decimals
-    cannot hold (1e14 and above, infinite) fall back to the binary sum.
-
     Two steps keep every row-level aggregate a hash aggregate and every group small:
     first per utility x identity x month with fixed-width buffers (a utility that holds
     a third of all events is combined inside each task before the shuffle), then per
     utility over those few rows, where the text columns are picked.
     """
-    if sum_mode not in ("double", "decimal"):
-        raise ValueError(f"sum mode must be 'double' or 'decimal', not {sum_mode!r}")
     have = set(silver.columns)
     events = numeric_flags(silver.filter(F.col(K.ident(K.KEY)).isNotNull()), flag_mode)
 
@@ -52,10 +44,8 @@ def utility_rollup(
     summed = present((*K.DAMAGE, *K.HARM))
     months = present((K.MONTH,))
 
-    exact = [c for c in summed if c in K.DAMAGE and sum_mode == "decimal"]
     partial = [F.max(c).alias(c) for c in highest]
     partial += [F.sum(c).alias(c) for c in summed]
-    partial += [F.sum(F.col(c).try_cast("decimal(18,4)")).alias(f"{c}_exact") for c in exact]
     if K.EVENT_TYPE in have:
         partial.append(F.count(K.EVENT_TYPE).alias(K.EVENT_COUNT))
     if K.ROW_ID in have:
@@ -72,12 +62,7 @@ def utility_rollup(
 
     final = [first_known(c) for c in identity]
     final += [F.max(c).alias(c) for c in present(K.RELIABILITY)]
-    for c in summed:
-        total = F.sum(c)
-        if c in exact:
-            decimals = F.sum(f"{c}_exact").cast("double")
-            total = F.when(F.abs(total) < 1e14, decimals).otherwise(total)
-        final.append(total.alias(K.RENAMED_SUMS.get(c, c)))
+    final += [F.sum(c).alias(K.RENAMED_SUMS.get(c, c)) for c in summed]
     if K.EVENT_TYPE in have:
         final.append(F.sum(K.EVENT_COUNT).alias(K.EVENT_COUNT))
     if months:

@@ -9,12 +9,10 @@ from ..operators.rollup import utility_rollup
 from ..session import stage
 
 
-def build_features(
-    silver: DataFrame, flag_mode: str = "numeric", sum_mode: str = "double"
-) -> DataFrame:
+def build_features(silver: DataFrame, flag_mode: str = "numeric") -> DataFrame:
     """Roll up, rank, score, label.
 
     The roll-up is the only pass over the events; it is stored once because the ranks,
     quantiles and the table itself all read it.
     """
-    return risk_features(stage(utility_rollup(silver, flag_mode, sum_mode), "rollup"))
+    return risk_features(stage(utility_rollup(silver, flag_mode), "rollup"))

@@ -63,45 +63,56 @@ def defaulted(column: str) -> str:
     return f"coalesce(nullif(trim({q(column)}), ''), 'Unknown')"
 
 
-def typed_column(name: str) -> str:
-    if name in K.FLOAT_COLUMNS:
-        sql = filled(number(name))
-    elif name == K.KEY:
-        sql = whole_key(number(name))
-    elif name in K.DEFAULTED_TEXT:
-        sql = defaulted(name)
-    else:
-        sql = q(name)
-    return f"{sql} AS {q(name)}"
+def _kinds() -> str:
+    """A table of the contract's fields and the rule that each one's cells go by."""
+    rules = {c: "plain" for c in K.EVENT_CONTRACT}
+    rules |= {c: "label" for c in K.DEFAULTED_TEXT} | {c: "number" for c in K.FLOAT_COLUMNS} | {K.KEY: "key"}
+    return ", ".join(f"({text(c)}, {text(rule)})" for c, rule in rules.items())
+
+
+def _of(field: str, value: str) -> str:
+    """The one cell of a row that belongs to ``field``."""
+    return f"max({value}) FILTER (WHERE field = {text(field)})"
+
+
+def _typed() -> str:
+    columns = []
+    for c in K.EVENT_CONTRACT:
+        if c in K.FLOAT_COLUMNS:
+            value = f"coalesce({_of(c, 'amount')}, 0)"
+        elif c == K.KEY:
+            value = f"TRY_CAST({_of(c, 'amount')} AS BIGINT)"
+        else:
+            value = _of(c, "label" if c in K.DEFAULTED_TEXT else "cell")
+        columns.append(f"{value} AS {q(c)}")
+    known = f"count(*) FILTER (WHERE field = 'State' AND cell IN ({listed(K.STATES)}))"
+    below = f"count(*) FILTER (WHERE amount < 0 AND field IN ({listed(K.NON_NEGATIVE_COLUMNS)}))"
+    return (
+        f"kinds(field, kind) AS (VALUES {_kinds()}), "
+        # one row per cell, so that every rule is stated once and not per column
+        "numbered AS MATERIALIZED (SELECT *, row_number() OVER () AS line FROM raw), "
+        f"cells AS (FROM numbered UNPIVOT INCLUDE NULLS (cell FOR field IN ({', '.join(map(q, K.EVENT_CONTRACT))}))), "
+        "read AS (SELECT line, _row_id, field, kind, cell, "
+        "CASE WHEN kind IN ('number', 'key') THEN TRY_CAST(trim(cell) AS DOUBLE) END AS found, "
+        "CASE WHEN trim(cell) > '' THEN trim(cell) ELSE 'Unknown' END AS label "
+        "FROM cells JOIN kinds USING (field)), "
+        "ruled AS (SELECT *, nullif(found, CAST('NaN' AS DOUBLE)) AS amount FROM read), "
+        f"typed AS (SELECT max(_row_id) AS _row_id, {', '.join(columns)}, "
+        f"max(TRY_STRPTIME(CASE WHEN field = 'BEGIN_DATE_TIME' THEN cell END, '%d-%b-%y %H:%M:%S')) AS event_ts, "
+        f"CASE WHEN {known} = 0 THEN 'invalid_state' WHEN {below} > 0 THEN 'negative_value' END AS _reject_reason "
+        "FROM ruled GROUP BY line)"
+    )
 
 
 EVENT_TS = "TRY_STRPTIME(\"BEGIN_DATE_TIME\", '%d-%b-%y %H:%M:%S')"
-NEGATIVE = " OR ".join(f"{number(c)} < 0" for c in K.NON_NEGATIVE_COLUMNS)
-REASON = (
-    f"CASE WHEN \"State\" IS NULL OR \"State\" NOT IN ({listed(K.STATES)}) THEN 'invalid_state' "
-    f"WHEN {NEGATIVE} THEN 'negative_value' END"
-)
+TYPED = f"{RAW}, {_typed()}"
 CONTRACT = ", ".join(q(c) for c in K.SILVER_COLUMNS)
-TYPED = (
-    f"{RAW}, typed AS (SELECT _row_id, {', '.join(typed_column(c) for c in K.EVENT_CONTRACT)}, "
-    f"{EVENT_TS} AS event_ts, {REASON} AS _reject_reason FROM raw)"
-)
 SILVER = (
     f"{TYPED}, silver AS (SELECT {CONTRACT}, min(_row_id) AS _row_id, count(*) AS _copies "
     f"FROM typed WHERE _reject_reason IS NULL GROUP BY {CONTRACT})"
 )
 
 
-def stable_sum(expression: str) -> str:
-    # Through text both ways: a direct cast between decimal and double is not exact.
-    exact = f"CAST(CAST({expression} AS VARCHAR) AS DECIMAL(28,10))"
-    return f"CAST(CAST(sum({exact}) AS VARCHAR) AS DOUBLE)"
-
-
-def stable_mean(expression: str) -> str:
-    return f"{stable_sum(expression)} / count({expression})"
-
-
 def half_even(expression: str, digits: int = 0) -> str:
     scale = f"CAST({10 ** digits} AS DOUBLE)"
     return f"round_even({expression} * {scale}, 0) / {scale}"
@@ -132,9 +143,7 @@ def _rollup() -> str:
         parts.append(f"arg_min({q(c)}, _row_id) AS {q(c)}")
     parts += [f"max({q(c)}) AS {q(c)}" for c in K.RELIABILITY]
     for c in K.DAMAGE:
-        parts.append(
-            f"CAST(sum(CAST({q(c)} AS DECIMAL(18,4))) AS DOUBLE) AS {q(K.RENAMED_SUMS[c])}"
-        )
+        parts.append(f"sum({q(c)}) AS {q(K.RENAMED_SUMS[c])}")
     parts += [f"sum({q(c)}) AS {q(c)}" for c in K.HARM]
     parts += [
         f"count({q(K.EVENT_TYPE)}) AS {K.EVENT_COUNT}",
@@ -195,6 +204,41 @@ def csv_landing() -> str:
               "FROM raw GROUP BY 1")
 
 
+@check
+def layered_run() -> str:
+    return on(GOLD, "SELECT 'b1' AS batch_id, (SELECT count(*) FROM raw) AS bronze_rows, "
+              "CAST(0 AS BIGINT) AS malformed_lines, "
+              "(SELECT count(*) FROM typed WHERE _reject_reason IS NOT NULL) AS quarantined, "
+              "(SELECT CAST(sum(_copies - 1) AS BIGINT) FROM silver) AS duplicates_removed, "
+              "(SELECT count(*) FROM silver) AS silver_rows, (SELECT count(*) FROM gold) AS utilities, "
+              f"(SELECT count(DISTINCT {STATE}) FROM gold) AS states")
+
+
+@check
+def gated_run() -> str:
+    sizes = {
+        "bronze_outage_events": "SELECT count(*) FROM raw",
+        "silver_outage_events": "SELECT count(*) FROM silver",
+        "silver_quarantine": "SELECT count(*) FROM typed WHERE _reject_reason IS NOT NULL",
+        "gold_utility_features": "SELECT count(*) FROM gold",
+        "gold_state_risk_summary": f"SELECT count(DISTINCT {STATE}) FROM gold",
+        "manifest": "SELECT CAST(1 AS BIGINT)",
+    }
+    return on(GOLD, " UNION ALL ".join(f"SELECT '{n}' AS \"table\", ({size}) AS \"rows\"" for n, size in sizes.items()))
+
+
+@check
+def bronze_lineage() -> str:
+    return on(RAW, "SELECT 'b1' AS batch_id, '2024-01-01 00:00:00' AS ingested_at, count(*) AS \"rows\", "
+              "count(*) AS row_ids, count(*) AS with_file FROM raw")
+
+
+@check
+def quoted_lines() -> str:
+    return ("SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, md5(coalesce(text, '')) AS text_md5, "
+            "CAST(length(nullif(text, '')) AS INTEGER) AS n_chars FROM documents")
+
+
 @check
 def malformed_lines() -> str:
     return ("SELECT count(*) FILTER (WHERE c_acctbal >= 0) AS good_lines, "
@@ -220,14 +264,14 @@ def snake_columns() -> str:
 
 @check
 def exposure_join() -> str:
-    return (f"SELECT n_name, l_returnflag, count(*) AS pairs, {stable_sum('l_quantity')} AS quantity "
+    return (f"SELECT n_name, l_returnflag, count(*) AS pairs, sum(l_quantity) AS quantity "
             f"FROM {JOINED} GROUP BY 1, 2")
 
 
 @check
 def exposure_join_spread() -> str:
     return (f"SELECT c_mktsegment, o_orderstatus, count(*) AS pairs, "
-            f"{stable_sum('o_totalprice')} AS total_price "
+            "CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total_cents "
             "FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2")
 
 
@@ -337,13 +381,10 @@ def reject_counts() -> str:
 
 @check
 def soft_profile() -> str:
-    parts = [
-        f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {q(c)} IS NULL OR trim({q(c)}) = '' "
-        f"OR isnan({number(c)})) AS null_or_nan, count(*) FILTER (WHERE trim({q(c)}) <> '' AND "
-        f"{number(c)} IS NULL) AS unparseable FROM raw"
-        for c in K.FLOAT_COLUMNS
-    ]
-    return on(RAW, " UNION ALL ".join(parts))
+    return on(TYPED, "SELECT field AS column_name, "
+              "count(*) FILTER (WHERE isnan(found) OR coalesce(trim(cell), '') = '') AS null_or_nan, "
+              "count(*) FILTER (WHERE found IS NULL AND trim(cell) > '') AS unparseable "
+              "FROM read WHERE kind = 'number' GROUP BY field")
 
 
 @check
@@ -450,11 +491,11 @@ def kpi_row() -> str:
     return on(
         GOLD,
         f"SELECT count(*) AS utilities, {high} AS high_risk, count(DISTINCT {STATE}) AS states, "
-        f"{stable_mean(SAIDI)} AS avg_saidi, {stable_sum(K.LOSS)} AS annual_loss_usd, "
+        f"avg({SAIDI}) AS avg_saidi, sum({K.LOSS}) AS annual_loss_usd, "
         f"CAST(sum({K.BREACH}) AS BIGINT) AS sla_breaches, "
         f"CAST(sum({K.EVENT_COUNT}) AS BIGINT) AS storm_events, "
         f"CAST(100 AS DOUBLE) * {high} / greatest(count(*), 1) AS high_risk_pct, "
-        f"{stable_mean(SAIDI)} - (SELECT {stable_mean(SAIDI)} FROM gold) AS saidi_delta "
+        f"avg({SAIDI}) - (SELECT avg({SAIDI}) FROM gold) AS saidi_delta "
         f"FROM gold WHERE {CHOSEN}",
     )
 
@@ -471,19 +512,19 @@ def top_findings() -> str:
         f"SELECT (SELECT {STATE} {lead(STATE)}) AS top_state, "
         f"(SELECT count(*) {lead(STATE)}) AS top_state_high_risk, "
         f"(SELECT {OWNERSHIP} {lead(OWNERSHIP)}) AS top_ownership, "
-        f"(SELECT {REGION} FROM gold GROUP BY {REGION} ORDER BY {stable_mean(SAIDI)} DESC, "
+        f"(SELECT {REGION} FROM gold GROUP BY {REGION} ORDER BY avg({SAIDI}) DESC, "
         f"{REGION} LIMIT 1) AS worst_region, "
-        f"(SELECT {stable_sum(K.LOSS)} FROM gold) / CAST(1000000000 AS DOUBLE) AS loss_billion_usd",
+        f"(SELECT sum({K.LOSS}) FROM gold) / CAST(1000000000 AS DOUBLE) AS loss_billion_usd",
     )
 
 
 def _state_metrics() -> None:
     values = {
-        "saidi": stable_mean(SAIDI),
+        "saidi": f"avg({SAIDI})",
         "highrisk": "CAST(100 AS DOUBLE) * count(*) FILTER (WHERE risk_category = 'High Risk') "
                     "/ count(*)",
-        "damage": f"{stable_sum(K.TOTAL_DAMAGE)} / CAST(1000000000 AS DOUBLE)",
-        "loss": f"{stable_sum(K.LOSS)} / CAST(1000000 AS DOUBLE)",
+        "damage": f"sum({K.TOTAL_DAMAGE}) / CAST(1000000000 AS DOUBLE)",
+        "loss": f"sum({K.LOSS}) / CAST(1000000 AS DOUBLE)",
     }
     for name, value in values.items():
         SQL[f"state_metric_{name}"] = on(
@@ -517,7 +558,7 @@ def tier_quantiles() -> str:
     for tier in (K.HIGH, K.MEDIUM, K.LOW):
         inside = f"tier = '{tier}'"
         cells = ", ".join(f"{quantile('kept', 'x', s, inside)} AS {n}" for n, s in names.items())
-        parts.append(f"SELECT '{tier}' AS tier, count(*) AS utilities, {stable_mean('x')} AS mean, "
+        parts.append(f"SELECT '{tier}' AS tier, count(*) AS utilities, avg(x) AS mean, "
                      f"{cells} FROM kept WHERE {inside}")
     return on(f"{GOLD}, {kept}",
               f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE utilities > 0")
@@ -542,10 +583,10 @@ def _scaled(column: str, alias: str) -> str:
 def region_heat() -> str:
     columns = ("avg_saidi", "pct_high", "avg_storms", "avg_loss_musd")
     return on(
-        f"{GOLD}, means AS (SELECT {REGION} AS region, {stable_mean(SAIDI)} AS avg_saidi, "
+        f"{GOLD}, means AS (SELECT {REGION} AS region, avg({SAIDI}) AS avg_saidi, "
         "sum(high_risk) / CAST(count(*) AS DOUBLE) AS pct_high, "
         f"sum({K.EVENT_COUNT}) / CAST(count(*) AS DOUBLE) AS avg_storms, "
-        f"{stable_mean(K.LOSS)} / CAST(1000000 AS DOUBLE) AS avg_loss_musd FROM gold GROUP BY 1)",
+        f"avg({K.LOSS}) / CAST(1000000 AS DOUBLE) AS avg_loss_musd FROM gold GROUP BY 1)",
         f"SELECT *, {', '.join(_scaled(c, c + '_scaled') for c in columns)} FROM means",
     )
 
@@ -554,7 +595,7 @@ def region_heat() -> str:
 def region_radar() -> str:
     dims = {"saidi": SAIDI, "high_risk": "high_risk", "storm_events": K.EVENT_COUNT,
             "damage": K.TOTAL_DAMAGE, "human_impact": K.HUMAN_IMPACT}
-    means = ", ".join(f"{stable_mean(c)} AS m_{n}" for n, c in dims.items())
+    means = ", ".join(f"avg({c}) AS m_{n}" for n, c in dims.items())
     return on(f"{GOLD}, means AS (SELECT {REGION} AS region, {means} FROM gold GROUP BY 1)",
               f"SELECT region, {', '.join(_scaled('m_' + n, n) for n in dims)} FROM means")
 
@@ -567,7 +608,9 @@ def bubble_points() -> str:
         f"SELECT {KEY} AS utility_number, risk_category AS tier, {K.EVENT_COUNT} AS storm_events, "
         f"{SAIDI} AS saidi, loss_musd, least(greatest(loss_musd / (SELECT max(loss_musd) FROM kept) "
         "* CAST(40 AS DOUBLE) + CAST(5 AS DOUBLE), CAST(4 AS DOUBLE)), CAST(45 AS DOUBLE)) AS size, "
-        "\"Utility Name\" || ' | State: ' || \"State\" AS hover FROM kept",
+        "\"Utility Name\" || ' | State: ' || \"State\" || ' | SAIDI: ' || "
+        f"CAST({half_even(SAIDI, 1)} AS VARCHAR) || ' min/yr | Loss: $' || "
+        f"CAST({half_even('loss_musd', 1)} AS VARCHAR) || 'M' AS hover FROM kept",
     )
 
 

@@ -70,7 +70,9 @@ CELLS: dict[str, str] = {
     K.MAGNITUDE: f"CASE WHEN {LINE} = 7 THEN 'N/A' WHEN {LINE} = 6 THEN '' "
                  f"WHEN {LINE} = 5 THEN 'NaN' WHEN {LINE} = 4 THEN {whole('l_quantity')} || 'd' "
                  f"ELSE ' ' || {whole('l_quantity')} END",
-    K.DAMAGE[0]: f"{whole('l_extendedprice')} || '.' || CAST({LINE} AS STRING)",
+    # quarters add up to the same in any order
+    K.DAMAGE[0]: f"{whole('l_extendedprice')} || CASE {LINE} % 4 WHEN 1 THEN '.25' "
+                 f"WHEN 2 THEN '.5' WHEN 3 THEN '.75' ELSE '.0' END",
     K.DAMAGE[1]: f"CASE WHEN l_returnflag = 'R' THEN {whole('l_extendedprice * l_tax')} "
                  f"ELSE '' END",
     K.HARM[0]: f"CASE WHEN l_returnflag = 'R' THEN CAST({LINE} - 1 AS STRING) ELSE '0' END",
@@ -103,12 +105,10 @@ def exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .withColumnRenamed("c_custkey", "custkey")
     )
-    events = (
-        read("lineitem")
-        .join(read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .withColumnRenamed("o_custkey", "custkey")
-    )
-    return exposure_join(territory, events, ["custkey"]).withColumnRenamed("custkey", "c_custkey")
+    orders = read("orders").withColumnRenamed("o_custkey", "custkey")
+    located = exposure_join(territory, orders, ["custkey"]).withColumnRenamed("custkey", "c_custkey")
+    # a hot customer's orders are spread by now, and an order has few lines
+    return read("lineitem").join(located, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,10 +18,13 @@ from ..operators import reports as R
 from ..operators import scoring
 from ..operators.rollup import utility_rollup
 from ..plans.features import build_features
-from ..session import stage, staging_root, tune
+from ..plans.layered import run_gated, run_layers
+from ..plans.report import report_tables
+from ..session import staged_path, staging_root, tune
 from ..sources import layers as L
 from ..sources import publish as P
 from ..sources.delimited import export_csv, read_text_columns
+from ..sources.manifest import manifest_table
 from . import feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,9 +52,8 @@ def _stored(
     where = (staging_root(spark), sf_dir, name)
     path = _layers.get(where)
     if path is None or not L.path_exists(spark, f"{path}/_SUCCESS"):
-        stored = stage(build(spark, sf_dir), name)
-        _layers[where] = stored.inputFiles()[0].rsplit("/", 1)[0]
-        return stored
+        path = _layers[where] = staged_path(spark, name)
+        build(spark, sf_dir).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -68,7 +70,7 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_features(silver(spark, sf_dir), sum_mode="decimal")
+    return build_features(silver(spark, sf_dir))
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +101,62 @@ def csv_landing(spark, sf_dir):
     )
 
 
+def _feed_csv(spark: SparkSession, sf_dir: str) -> str:
+    return export_csv(bronze(spark, sf_dir).drop(K.ROW_ID), staged_path(spark, "feed-csv"))
+
+
+@query
+def layered_run(spark, sf_dir):
+    """The feed as CSV through the whole layered run: the manifest's counts."""
+    manifest = run_layers(spark, _feed_csv(spark, sf_dir), staged_path(spark, "layers"), "b1")
+    return manifest_table(spark, manifest).select(
+        "batch_id", "bronze_rows", "malformed_lines", "quarantined", "duplicates_removed",
+        "silver_rows", "utilities", "states",
+    )
+
+
+@query
+def gated_run(spark, sf_dir):
+    """The gated run, published: rows of every published table against the manifest."""
+    target = staged_path(spark, "published")
+    manifest = run_gated(
+        spark, _feed_csv(spark, sf_dir), staged_path(spark, "layers"),
+        max_quarantine_pct=100.0, publish_to=target,
+    )
+    counted = [
+        spark.read.parquet(info["location"]).agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(name).alias("table"), "rows")
+        for name, info in manifest["published"]["tables"].items()
+    ]
+    stored = spark.read.parquet(f"{target}/manifest").select(F.lit("manifest").alias("table"), F.lit(1).cast("bigint").alias("rows"))
+    return reduce(DataFrame.union, [*counted, stored])
+
+
+@query
+def bronze_lineage(spark, sf_dir):
+    """The landed feed: rows, distinct row ids and source files' rows per batch."""
+    data = staged_path(spark, "layers")
+    L.land_bronze(spark, _feed_csv(spark, sf_dir), data, "b1", "2024-01-01 00:00:00")
+    landed = L.read_batch(spark, data, L.BRONZE, L.EVENTS, "b1")
+    return landed.groupBy("_batch_id", "_ingested_at").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct(K.ROW_ID).alias("row_ids"),
+        F.count("_source_file").alias("with_file"),
+    ).select(
+        F.col("_batch_id").alias("batch_id"), F.col("_ingested_at").cast("string").alias("ingested_at"),
+        "rows", "row_ids", "with_file",
+    )
+
+
+@query
+def quoted_lines(spark, sf_dir):
+    """All documents, with their line breaks and quotes, through a CSV file."""
+    docs = feed.tables(spark, sf_dir)("documents").select(F.col("doc_id").cast("string"), "lang", "text")
+    lines = read_text_columns(spark, export_csv(docs, staged_path(spark, "quoted-csv")), multi_line=True)
+    return lines.filter("_corrupt IS NULL").select(
+        "doc_id", "lang", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"), F.length("text").alias("n_chars")
+    )
+
+
 @query
 def malformed_lines(spark, sf_dir):
     """Customer list with one field too many on some lines: good and rejected lines."""
@@ -163,13 +221,13 @@ def exposure_join(spark, sf_dir):
     return (
         feed.exposure(spark, sf_dir)
         .groupBy("n_name", "l_returnflag")
-        .agg(F.count(F.lit(1)).alias("pairs"), S.stable_sum(F.col("l_quantity")).alias("quantity"))
+        .agg(F.count(F.lit(1)).alias("pairs"), F.sum("l_quantity").alias("quantity"))
     )
 
 
 @query
 def exposure_join_spread(spark, sf_dir):
-    """The same join with every key spread over eight reducers."""
+    """The same join with each hot key spread over eight reducers."""
     read = feed.tables(spark, sf_dir)
     orders = read("orders").withColumnRenamed("o_custkey", "custkey")
     customer = read("customer").withColumnRenamed("c_custkey", "custkey")
@@ -177,7 +235,7 @@ def exposure_join_spread(spark, sf_dir):
         J.exposure_join(customer, orders, ["custkey"], spread=8)
         .groupBy("c_mktsegment", "o_orderstatus")
         .agg(F.count(F.lit(1)).alias("pairs"),
-             S.stable_sum(F.col("o_totalprice")).alias("total_price"))
+             F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("total_cents"))
     )
 
 
@@ -335,7 +393,7 @@ def exact_difference(spark, sf_dir):
 @query
 def utility_rollup_rows(spark, sf_dir):
     """One row per utility with all aggregates, straight from Silver."""
-    return utility_rollup(silver(spark, sf_dir), sum_mode="decimal")
+    return utility_rollup(silver(spark, sf_dir))
 
 
 @query
@@ -412,6 +470,16 @@ def tier_by_ownership(spark, sf_dir):
     return R.tier_by_ownership(gold(spark, sf_dir), 3)
 
 
+@query
+def report_refresh(spark, sf_dir):
+    """Rows of every table of the whole report."""
+    tables = report_tables(gold(spark, sf_dir))
+    return reduce(
+        DataFrame.union,
+        [t.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("report"), "rows") for n, t in tables.items()],
+    )
+
+
 @query
 def tier_quantiles(spark, sf_dir):
     return R.tier_quantiles(gold(spark, sf_dir))

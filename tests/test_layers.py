@@ -1,7 +1,8 @@
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import BAD, DUPLICATES, GOOD, event, write_csv
+from conftest import ACCEPTED, REPEATED, as_file, mixed_events, usual_events
 from gustline import contract as K
 from gustline.operators import clean as C, quality as Q
 from gustline.plans.layered import run_gated, run_layers
@@ -13,10 +14,10 @@ from gustline.sources.delimited import (
 from gustline.sources.manifest import read_manifest
 
 
-def test_bronze_keeps_every_row_and_column_as_text(spark, landed):
+def test_landed_rows_are_text_with_lineage(spark, landed):
     data, _, manifest = landed
     bronze = L.read_batch(spark, data, L.BRONZE, L.EVENTS, "t1")
-    assert manifest["bronze"]["rows"] == bronze.count() == len(GOOD + BAD + DUPLICATES)
+    assert manifest["bronze"]["rows"] == bronze.count() == 10
     types = dict(bronze.dtypes)
     assert all(types[c] == "string" for c in (*K.EVENT_CONTRACT, "EXTRA_COL"))
     rows = bronze.select("_batch_id", "_source_file", K.ROW_ID, "_ingested_at").collect()
@@ -26,13 +27,13 @@ def test_bronze_keeps_every_row_and_column_as_text(spark, landed):
     assert all(r["_ingested_at"] is not None for r in rows)
 
 
-def test_bronze_is_append_only(spark, landed):
+def test_a_batch_lands_once(spark, landed):
     data, raw, _ = landed
     with pytest.raises(FileExistsError):
         run_layers(spark, raw, data, "t1")
 
 
-def test_counts_and_identity(landed):
+def test_manifest_counts(landed):
     silver = landed[2]["silver"]
     assert silver["quarantine_by_reason"] == {"invalid_state": 2, "negative_value": 1}
     assert (silver["quarantined"], silver["duplicates_removed"], silver["rows"]) == (3, 2, 5)
@@ -50,7 +51,7 @@ def test_quarantine_table(spark, landed):
     assert reasons == ["invalid_state", "invalid_state", "negative_value"]
 
 
-def test_silver_contract_and_rules(spark, landed):
+def test_accepted_rows_are_typed_and_filled(spark, landed):
     silver = L.silver_contract(L.read_batch(spark, landed[0], L.SILVER, L.EVENTS, "t1"))
     assert [(f.name, f.dataType) for f in silver.schema] == [
         (f.name, f.dataType) for f in K.silver_schema()
@@ -74,25 +75,24 @@ def test_manifest(spark, landed):
     assert stored["source"]["file"] == "raw file.csv" and stored["source"]["fingerprint"]
 
 
-def test_missing_column_fails_before_silver(spark, tmp_path):
-    rows = [{k: v for k, v in r.items() if k != K.EVENT_TYPE} for r in GOOD]
-    raw = write_csv(tmp_path / "bad.csv", rows)
+def test_file_without_a_contract_column_builds_nothing(spark, tmp_path):
+    raw = as_file(usual_events(5).drop(columns=K.EVENT_TYPE), tmp_path / "bad.csv")
     with pytest.raises(K.ContractError, match="EVENT_TYPE"):
         run_layers(spark, raw, str(tmp_path / "d"), "x")
     assert not (tmp_path / "d" / "silver").exists()
 
 
 def test_gate_stops_a_dirty_batch(spark, tmp_path):
-    rows = [event(**{K.STATE: "ZZ"})] * 30 + [event(**{K.KEY: str(i)}) for i in range(70)]
-    raw = write_csv(tmp_path / "dirty.csv", rows)
+    events = usual_events(100, **{K.STATE: ["ZZ"] * 30 + ["TX"] * 70, K.KEY: [str(i) for i in range(100)]})
+    raw = as_file(events, tmp_path / "dirty.csv")
     with pytest.raises(K.DataQualityError, match="quarantined"):
         run_gated(spark, raw, str(tmp_path / "d"), max_quarantine_pct=5.0)
     assert not (tmp_path / "d" / "silver").exists() and not (tmp_path / "d" / "gold").exists()
 
 
 def test_gated_run_publishes_and_reconciles(spark, tmp_path):
-    rows = [event(**{K.KEY: str(100 + i), "SPP.1": "Y"}) for i in range(40)]
-    raw = write_csv(tmp_path / "clean.csv", rows + rows[:1])
+    events = usual_events(41, **{K.KEY: [str(100 + i % 40) for i in range(41)], "SPP.1": "Y"})
+    raw = as_file(events, tmp_path / "clean.csv")
     data, target = str(tmp_path / "d"), str(tmp_path / "published")
     manifest = run_gated(spark, raw, data, publish_to=target, database="storms")
     assert manifest["silver"]["rows"] == 40 and manifest["silver"]["duplicates_removed"] == 1
@@ -101,6 +101,8 @@ def test_gated_run_publishes_and_reconciles(spark, tmp_path):
     again = P.publish(spark, data, target, batch)
     silver = spark.read.parquet(again["tables"]["silver_outage_events"]["location"])
     assert silver.count() == 40
+    entry = spark.read.parquet(f"{target}/manifest").first()
+    assert (entry["batch_id"], entry["silver_rows"], entry["utilities"]) == (batch, 40, 40)
     assert {"utility_number", "spp_1", "batch_id"} <= set(silver.columns)
     assert not any(" " in c or "." in c for c in silver.columns)
     assert spark.table("storms.silver_outage_events").filter(F.col("batch_id") == batch).count() == 40
@@ -134,7 +136,8 @@ def test_ragged_lines(spark, tmp_path):
 
 
 def test_tolerant_clean_equals_silver_on_clean_rows(spark, landed, tmp_path):
-    raw = write_csv(tmp_path / "p.csv", GOOD + DUPLICATES + [event(**{K.STATE: "ZZ"})])
+    events = pd.concat([mixed_events().loc[[*ACCEPTED, *REPEATED]], usual_events(1, **{K.STATE: "ZZ"})])
+    raw = as_file(events, tmp_path / "p.csv")
     cleaned = clean_file(spark, raw, str(tmp_path / "clean"), str(tmp_path / "csv"))
     silver = L.silver_contract(L.read_batch(spark, landed[0], L.SILVER, L.EVENTS, "t1"))
     compared = [*K.FLOAT_COLUMNS, *K.DEFAULTED_TEXT, K.STATE, K.NAME, "TRE"]

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gustline import contract as K
-from gustline.operators import ranking as W
+from gustline.operators import joins as J, ranking as W
 from gustline.operators.risk import risk_features
 from gustline.operators.rollup import utility_rollup
 from gustline.session import stage
@@ -32,30 +32,28 @@ def skewed(spark):
     return pdf, stage(df.withColumn("x", F.nanvl("x", F.lit(None).cast("double"))), "skewed")
 
 
-@pytest.mark.parametrize("small", [W.SMALL_VALUES, 0])
-def test_percent_rank_equals_pandas(skewed, small):
+def test_percent_rank_equals_pandas(skewed):
     pdf, df = skewed
-    got = W.with_percent_rank(df, {"r": "x"}, ["k"], small).toPandas().sort_values("k")
+    got = W.with_percent_rank(df, {"r": "x"}, ["k"]).toPandas().sort_values("k")
     want = pdf.x.rank(pct=True, na_option="bottom")
     assert len(got) == len(pdf)
     assert (got.r.to_numpy() == want.to_numpy()).all()
 
 
-@pytest.mark.parametrize("small", [W.SMALL_VALUES, 0])
-def test_quantiles_equal_pandas(skewed, small):
+def test_quantiles_equal_pandas(skewed):
     pdf, df = skewed
     shares = [0.0, 0.5, 0.8, 0.9, 0.95, 1.0]
-    got = W.exact_quantiles(df, "x", shares, small_values=small).first()["q"]
+    got = W.exact_quantiles(df, "x", shares).first()["q"]
     assert got == pdf.x.quantile(shares).tolist()
-    by = {r["g"]: r["q"] for r in W.exact_quantiles(df, "x", shares, ["g"], small).collect()}
+    by = {r["g"]: r["q"] for r in W.exact_quantiles(df, "x", shares, ["g"]).collect()}
     for g, part in pdf.groupby("g"):
         assert by[g] == part.x.quantile(shares).tolist()
-    assert W.column_medians(df, ["x", "k"], small) == {"x": pdf.x.median(), "k": pdf.k.median()}
+    assert W.column_medians(df, ["x", "k"]) == {"x": pdf.x.median(), "k": pdf.k.median()}
 
 
-def test_large_plan_spreads_hot_values(skewed):
+def test_plan_spreads_hot_values(skewed):
     _, df = skewed
-    text = plan(W.with_percent_rank(df, {"r": "x"}, ["k"], 0))
+    text = plan(W.with_percent_rank(df, {"r": "x"}, ["k"]))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
     assert "Python" not in text
     # The lane is part of the join key, so hot rows do not meet in one reducer.
@@ -63,9 +61,7 @@ def test_large_plan_spreads_hot_values(skewed):
     assert any("_lane" in line for line in joins)
 
 
-@pytest.mark.parametrize("small", [W.SMALL_VALUES, 0])
-def test_metrics_equal_definition(spark, small, monkeypatch):
-    monkeypatch.setattr(W, "SMALL_VALUES", small)
+def test_metrics_equal_definition(spark):
     rng = np.random.default_rng(3)
     score = rng.random(500).round(2)
     label = (rng.random(500) < score).astype(int)
@@ -127,13 +123,27 @@ def test_rollup_with_a_hot_utility(spark):
         name=(K.NAME, "first"), saidi=(K.SAIDI, "max"), damage=(K.DAMAGE[0], "sum"),
         events=(K.EVENT_TYPE, "count"), months=(K.MONTH, "nunique"),
     )
-    for mode in ("double", "decimal"):
-        got = utility_rollup(df, sum_mode=mode).toPandas().set_index(K.KEY).sort_index()
-        assert got[K.NAME].tolist() == want.name.tolist()
-        assert got[K.SAIDI].tolist() == want.saidi.tolist()
-        assert got["total_property_damage_usd"].tolist() == want.damage.tolist()
-        assert got[K.EVENT_COUNT].tolist() == want.events.tolist()
-        assert got[K.MONTH_COUNT].tolist() == want.months.tolist()
+    got = utility_rollup(df).toPandas().set_index(K.KEY).sort_index()
+    assert got[K.NAME].tolist() == want.name.tolist()
+    assert got[K.SAIDI].tolist() == want.saidi.tolist()
+    assert got["total_property_damage_usd"].tolist() == want.damage.tolist()
+    assert got[K.EVENT_COUNT].tolist() == want.events.tolist()
+    assert got[K.MONTH_COUNT].tolist() == want.months.tolist()
     tree = plan(utility_rollup(df)).split("\n\n")[0].splitlines()
     row_level = [line for line in tree if "Aggregate" in line][-1]  # nearest the scan
     assert " HashAggregate" in row_level
+
+
+def test_small_amounts_are_not_lost(spark):
+    rows = [(1, 0.00004, 4e-11), (1, 0.00004, 4e-11)]
+    df = spark.createDataFrame(rows, f"`{K.KEY}` bigint, `{K.DAMAGE[0]}` double, `{K.DAMAGE[1]}` double")
+    row = utility_rollup(df).first()
+    assert (row["total_property_damage_usd"], row["total_crops_damage_usd"]) == (0.00008, 8e-11)
+
+
+def test_exposure_join_splits_hot_keys_only(spark):
+    events = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
+    territory = spark.range(0, 3000, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    split, plain = (J.exposure_join(territory, events, ["k"], n) for n in (32, 1))
+    assert split.count() == plain.count() and split.exceptAll(plain).count() == 0
+    assert "_lane" in plan(split) and "NestedLoop" not in plan(split)
