@@ -8,10 +8,10 @@ has the result their docstrings state.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from gustline.llm import language, mixing, packing, secrets, simhash
-from gustline.llm.common import fresh
+from gustline.llm.common import WORD, fresh
 from gustline.session import staged_path
 
 
@@ -36,21 +36,48 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take whole documents as often as the mix takes their words.
+    """Take the words of the blocks that the mix places: one row per document and pass.
 
-    A document of which the mix takes w words of s comes floor(w / s + u) times, u being a
-    fixed random number from 0 to 1 of its own: on average the mix's share, at most twice.
+    A pass that takes all words of a document takes its text as it is; of any other the taken
+    words come in text order, joined by blanks. So a source has exactly the words that
+    ``mixing.mix`` takes of it. ``n_chars`` follows the text; documents of which no block is
+    taken go. Repeated rows have placements of their own.
     """
-    key, digest, share, again = fresh("key", "digest", "share", "again")
-    taken = mixing.mix(docs).groupBy(F.col("doc_id").alias(key), F.col("text_hash").alias(digest)).agg(
-        (F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias(share)
-    )
-    rows = docs.withColumn(digest + "_own", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(digest + "_own") == F.col(digest))
-    chance = F.pmod(F.xxhash64(F.lit(mixing.SEED), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    copies = F.floor(F.col(share) + chance).cast("int")
-    met = rows.join(taken, same).withColumn(again, copies).where(F.col(again) > 0)
-    return met.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(again)))).select(*docs.columns)
+    same = fresh("no_id", "id", "hash", "no_source", "source")
+    size, placements, copy, taken = fresh("size", "placements", "copy", "taken")
+
+    def names(table: DataFrame, digest: Column) -> list[Column]:
+        values = []
+        for name in ("doc_id", "source"):
+            kind = table.schema[name].dataType
+            values.append([F.col(name).isNull(), F.coalesce(F.col(name), F.lit(0 if name == "doc_id" else "").cast(kind))])
+        return [v.alias(n) for v, n in zip([*values[0], digest, *values[1]], same)]
+
+    mixed = mixing.mix(docs).where("taken > 0")
+    found = mixed.select(*names(mixed, F.col("text_hash")), F.col("size").alias(size), F.col("placements").alias(placements))
+    found = found.groupBy(*same).agg(F.max(size).alias(size), F.array_sort(F.collect_list(placements)).alias(placements))
+    rows = docs.select(*docs.columns, *names(docs, F.xxhash64("text")))
+    rows = rows.withColumn(copy, F.row_number().over(Window.partitionBy(*same).orderBy(*same)))
+    met = rows.join(found, same).where(F.col(copy) <= F.size(placements))
+    blocks = F.element_at(placements, F.col(copy))
+
+    def of_pass(number: Column) -> Column:
+        own = F.filter(blocks, lambda p: p["pass"] == number)
+        return F.array_sort(F.transform(own, lambda p: F.struct(p["from_word"].alias("at"), p["words"].alias("words"))))
+
+    passes = F.transform(F.array_distinct(F.transform(blocks, lambda p: p["pass"])), of_pass)
+    met = met.withColumn(taken, F.explode(passes))
+    n_taken = F.aggregate(taken, F.lit(0).cast("long"), lambda n, p: n + p["words"])
+
+    def some(words: Column) -> Column:
+        parts = F.transform(taken, lambda p: F.slice(words, (p["at"] + 1).cast("int"), p["words"].cast("int")))
+        return F.array_join(F.flatten(parts), " ")
+
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    part = F.element_at(F.transform(F.array(words), some), 1)  # the words are found once
+    kind = docs.schema["n_chars"].dataType
+    cut = met.withColumn("text", F.when(n_taken == F.col(size), F.col("text")).otherwise(part))
+    return cut.withColumn("n_chars", F.length("text").cast(kind)).select(*docs.columns)
 
 
 def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -266,3 +266,26 @@ def test_pipeline_stages(spark, tmp_path):
     none = tmp_path / "none"
     spark.createDataFrame([], docs.schema).write.parquet(str(none / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(none)).count() == 0
+
+
+def test_pipeline_takes_the_words_of_the_mix(spark, docs):
+    rng = random.Random(11)
+    rows = [(0, " ".join(f"w{i}" for i in range(6000)), "long")]  # one text holds most of its source
+    rows += [(i, " ".join(f"v{i}_{j}" for j in range(rng.randint(1, 300))), ("long", "s1", "s2")[i % 3]) for i in range(1, 90)]
+    rows += [(500, "twice or more " * 40, "s1")] * 3 + [(None, "no number " * 50, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({"lang": F.lit("en"), "n_chars": F.lit(0)})
+    found = corpus_pipeline.mix_sources(spark, table, "").collect()
+    mixed = mixing.mix(table).collect()
+    whole = {(r["doc_id"], r["source"]): r["text"].split() for r in table.collect()}
+    for source in {r["source"] for r in mixed}:
+        own = [r for r in mixed if r["source"] == source]
+        words = sum(len(r["text"].split()) for r in found if r["source"] == source)
+        assert words == sum(r["taken"] for r in own) and abs(words - own[0]["target"]) <= 2 * mixing.BLOCK
+    for r in found:
+        own, place = whole[(r["doc_id"], r["source"])], -1
+        assert r["n_chars"] == len(r["text"])
+        if r["doc_id"] in range(90):
+            for w in r["text"].split():  # each word at most once, in text order
+                at = own.index(w)
+                assert at > place
+                place = at
