@@ -3,8 +3,8 @@
 After Marcais et al. 2019, "Locality-sensitive hashing for the edit distance": k-mers carry
 their occurrence number, so that repeats differ; the smallest ones by a hash are selected,
 kept in text order, and the tuple is hashed. One hash serves all sketches: its top bits deal
-the k-mers into BINS bins, and every bin's TUPLE smallest k-mers are one sketch. k-mers are
-runs of K words. Everything is a column expression over one row.
+the k-mers into 2^BIN_BITS bins, and every bin's TUPLE smallest k-mers are one sketch; a bin
+with one k-mer borrows the smallest of the next filled bin. k-mers are runs of K words. Everything is a column expression over one row.
 """
 
 from __future__ import annotations
@@ -96,7 +96,8 @@ def _numbered(sorted_kmers: Column) -> Column:
 def fingerprint(text: Column, k: int = K) -> Column:
     """array<bigint>: bin number times 2^32 plus the 32-bit hash of the bin's tuple, for every
     bin that has k-mers, by bin. Texts without words (NULL, empty, blank) have no bins; those
-    of fewer than ``k`` words have one k-mer. Equal texts have equal fingerprints."""
+    of fewer than ``k`` words have one k-mer, which is hashed alone; every sketch of a text
+    with two k-mers or more holds two in their order. Equal texts have equal fingerprints."""
 
     def sketch(n: Column) -> Column:
         # bins stand together, their smallest first
@@ -105,12 +106,12 @@ def fingerprint(text: Column, k: int = K) -> Column:
     def tuples(s: Column) -> Column:
         def value(x: Column, i: Column) -> Column:
             first = (i == 0) | (_bin(F.get(s, i - 1)) != _bin(x))
-            other = F.get(s, i + 1)
+            # of a bin with one k-mer, the next filled bin's smallest; after the last, the first's
+            other = F.get(s, (i + 1) % F.size(s))
             pair = F.when(
                 _place(x) < _place(other), F.xxhash64(_hash(x), _hash(other))
             ).otherwise(F.xxhash64(_hash(other), _hash(x)))
-            both = F.coalesce(_bin(other) == _bin(x), F.lit(False))
-            hashed = F.when(both, pair).otherwise(F.xxhash64(_hash(x)))
+            hashed = F.when(F.size(s) > 1, pair).otherwise(F.xxhash64(_hash(x)))
             return F.when(first, F.shiftleft(_bin(x), 32).bitwiseOR(hashed.bitwiseAND(F.lit(0xFFFFFFFF))))
 
         return F.sort_array(F.filter(F.transform(s, value), lambda x: x.isNotNull()))

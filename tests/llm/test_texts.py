@@ -235,3 +235,18 @@ def test_order_and_repeats_change_the_fingerprint(spark):
         return len({*f[a]} & {*f[b]}) / len({x >> 32 for x in f[a]} | {x >> 32 for x in f[b]})
 
     assert like(0, 0) == 1 and like(0, 2) > 0.5 and like(0, 3) < 0.05 and like(0, 2) > like(0, 1) and like(4, 5) < 1
+
+
+def test_every_sketch_of_a_short_text_keeps_order(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(20):
+        parts = [[str(rng.random()) for _ in range(12)] for _ in range(2)]
+        rows.append((i, " ".join(parts[0] + parts[1]), " ".join(parts[1] + parts[0])))
+    both = spark.createDataFrame(rows, "i int, a string, b string")
+    found = both.select(order_minhash.fingerprint(F.col("a")).alias("a"), order_minhash.fingerprint(F.col("b")).alias("b")).collect()
+    like = [len({*r["a"]} & {*r["b"]}) / len({x >> 32 for x in [*r["a"], *r["b"]]}) for r in found]
+    assert sum(like) / len(like) < 0.45  # 20 of 24 k-mers stay, half of all pairs change order
+    one = spark.createDataFrame([("a b c",), ("a b c d",), ("a",), ("",)], "t string")
+    sizes = [len(r["f"]) for r in one.select(order_minhash.fingerprint(F.col("t")).alias("f")).collect()]
+    assert sizes[0] == 1 and sizes[1] in (1, 2) and sizes[2:] == [1, 0]
