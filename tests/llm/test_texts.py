@@ -250,3 +250,22 @@ def test_every_sketch_of_a_short_text_keeps_order(spark):
     one = spark.createDataFrame([("a b c",), ("a b c d",), ("a",), ("",)], "t string")
     sizes = [len(r["f"]) for r in one.select(order_minhash.fingerprint(F.col("t")).alias("f")).collect()]
     assert sizes[0] == 1 and sizes[1] in (1, 2) and sizes[2:] == [1, 0]
+
+
+def test_keys_of_every_alphabet_are_found(spark):
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    rng = random.Random(12)
+    for alphabet, least in ((lower + digits, 0.95), (upper + "234567", 0.95), (upper + lower, 0.9), (lower, 0.55), (upper, 0.55)):
+        keys = ["".join(rng.choices(alphabet, k=20)) for _ in range(60)]
+        rows = spark.createDataFrame([(i, f"see {k} here") for i, k in enumerate(keys)], "doc_id long, text string")
+        masked = [r["text"] for r in secrets.mask(rows).collect()]
+        assert sum(t == "see [SECRET] here" for t in masked) >= least * len(keys)
+
+
+def test_placeholders_hide_no_key_beside_them(spark):
+    key = "x9F3kLq8ZtR2bVw7YpA1mNc5"
+    texts = [f"example-sk_live_{key}", f"{key}AAAAAAAA{key}", f"sample/{key}", "your_key_Example1", "Example1Sample2Dummy3Placeholder4"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    masked = {r["doc_id"]: r["text"] for r in secrets.mask(rows).collect()}
+    assert all(key not in masked[i] and "[SECRET]" in masked[i] for i in range(3))
+    assert masked[3] == texts[3] and masked[4] == texts[4]  # every window holds a placeholder
