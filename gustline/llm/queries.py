@@ -54,7 +54,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack_apart(table(spark, sf_dir, "documents"))
 
 
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gustline.llm import components, mixing, packing, simhash, topk, warc
+from gustline.llm.queries import QUERIES
 from gustline.session import staged_path
 
 
@@ -289,3 +290,27 @@ def test_pipeline_takes_the_words_of_the_mix(spark, docs):
                 at = own.index(w)
                 assert at > place
                 place = at
+
+
+def test_near_copies_never_share_a_bin(spark, tmp_path, docs, empty):
+    rng = random.Random(13)
+    base = [["".join(rng.choices("abcdefgh", k=5)) for _ in range(150)] for _ in range(20)]
+    rows = []
+    for i in range(200):
+        words = [*base[i % 20]]
+        words[rng.randrange(150)] = "other"  # one word differs
+        rows.append((i, " ".join(words), f"s{i // 20}"))
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    table.unionByName(docs.select("doc_id", "text", "source")).write.parquet(str(tmp_path / "documents.parquet"))
+    group = {i: i % 20 for i in range(200)}
+    packed = QUERIES["op5_best_fit_packing"](spark, str(tmp_path)).collect()
+    assert len(packed) == 200 + docs.count() + 1  # one text of over 2048 words has a second piece
+    bins = {}
+    for r in packed:
+        if r["bin_id"] is not None and r["doc_id"] in group and r["source"] in {s for _, _, s in rows} and r["words"] == 150:
+            bins.setdefault(r["bin_id"], []).append(group[r["doc_id"]])
+    assert all(len(set(b)) == len(b) for b in bins.values()) and max(map(len, bins.values())) > 1
+    assert packing.pack_apart(empty).count() == 0
+    spaced = spark.createDataFrame([(1, "é a b c d", "x"), (2, "É ab cd", "y"), (3, "other words", "z")], "doc_id long, text string, source string")
+    own = {r["doc_id"]: r["bin_id"] for r in packing.pack_apart(spaced).collect()}
+    assert own[1] != own[2] and own[3] in (own[1], own[2])
