@@ -45,11 +45,19 @@ SWITCH = 12.0
 WORD_LIMIT = 6.0
 OUTSIDE = -20.0
 CACHE = 200_000
-_words = re.compile(r"[^\W\d_]+").findall
+_found = re.compile(r"[^\W\d_]+").findall
 _places = re.compile(r"[^\W\d_]+").finditer
 _letter = re.compile(r"[^\W\d_]").search
 
 
+def _words(text: str) -> list[str]:
+    """The words of a text in lower case, one for each of ``_places``.
+
+    Of all letters only the capital I with a dot gets a second, which is none, in lower case.
+    """
+    return [w.lower() for w in _found(text)] if "\u0130" in text else _found(text.lower())
+
+
 def scripts_of(words: list[str]) -> np.ndarray:
     """For each word the number of its first letter's range in SCRIPTS."""
     return np.maximum(np.searchsorted(_STARTS, [ord(w[0]) for w in words], side="right") - 1, 0)
@@ -100,7 +108,7 @@ def learn(
             for name, texts in part.groupby("lang")["text"]:
                 seen = Counter()
                 for t in texts:
-                    seen.update(w for w in _words(t.lower()) if len(w) <= 64)
+                    seen.update(w for w in _words(t) if len(w) <= 64)
                 if seen:
                     yield pd.DataFrame({"lang": name, "word": [*seen], "n": [*seen.values()]}).astype({"n": "int64"})
 
@@ -184,10 +192,7 @@ def _spans(text: str, words: list[str], path: np.ndarray, names: tuple[str, ...]
     places = [m.span() for m in _places(text)]
     ends = np.flatnonzero(np.diff(path, append=255)).tolist()
     firsts = [0, *(e + 1 for e in ends[:-1])]
-    if len(places) == len(words):
-        spans = [{"start": places[a][0], "end": places[b][1], "lang": names[path[b]]} for a, b in zip(firsts, ends)]
-    else:  # lower-casing changed how many words there are
-        spans = [{"start": places[0][0], "end": places[-1][1], "lang": names[top]}]
+    spans = [{"start": places[a][0], "end": places[b][1], "lang": names[path[b]]} for a, b in zip(firsts, ends)]
     return names[top], float(letters[top] / letters.sum()), spans
 
 
@@ -211,7 +216,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", switch: float =
             found: list[tuple] = []
             for at in range(0, len(texts), 512):
                 some = texts[at : at + 512]
-                words = [_words(t.lower()) if n else [] for t in some]
+                words = [_words(t) if n else [] for t in some]
                 numbers = rows.numbers(words)
                 only = [_only(rows.rows[i], switch) if len(i) else None for i in numbers]
                 mixed = [i for i, w in enumerate(words) if w and only[i] is None]

@@ -269,3 +269,12 @@ def test_placeholders_hide_no_key_beside_them(spark):
     masked = {r["doc_id"]: r["text"] for r in secrets.mask(rows).collect()}
     assert all(key not in masked[i] and "[SECRET]" in masked[i] for i in range(3))
     assert masked[3] == texts[3] and masked[4] == texts[4]  # every window holds a placeholder
+
+
+def test_a_dotted_capital_keeps_the_spans(spark):
+    assert all(len(language._words(f"a{chr(c)}b")) == len(list(language._places(f"a{chr(c)}b"))) for c in range(0x30000))
+    en, fr = "the house and the garden with that dog ", "la maison et le jardin avec ce chien "
+    known = spark.createDataFrame([(i, lang, t * (3 + i)) for i in range(4) for lang, t in (("en", en), ("fr", fr))], "doc_id long, lang string, text string")
+    asked = spark.createDataFrame([(en * 6 + "D\u0130YARBAKIR " + fr * 6,)], "text string")
+    found = asked.select(language.identify(asked, language.learn(known)).alias("x")).first()["x"]
+    assert [s["lang"] for s in found["spans"]] in (["en", "fr"], ["fr", "en"]) and found["spans"][-1]["end"] == len(en * 12 + fr * 12) // 2 + 11 - 1
