@@ -40,7 +40,7 @@ SIZES = (1, 2, 3, 4, 5)
 BUCKETS = 1 << 15
 SAMPLE_DOCS = 400
 SAMPLE_WORDS = 30_000
-MOST_LANGUAGES = 255
+FULL_LANGUAGES = 255  # of more languages, the words learned and kept are shared out
 SWITCH = 12.0
 WORD_LIMIT = 6.0
 OUTSIDE = -20.0
@@ -86,19 +86,18 @@ def learn(
 ) -> Model:
     """A model from the texts with a language.
 
-    The sample is bounded: of each of the MOST_LANGUAGES languages with most texts, the
-    ``sample_docs`` different texts with the smallest hashes; and of those, the
-    ``sample_words`` most frequent words. Rows whose language or text is NULL, or whose text
+    Every language is learned. The sample of each is bounded: the ``sample_docs`` different
+    texts with the smallest hashes; and of those, the ``sample_words`` most frequent words, or
+    fewer of each if there are more than FULL_LANGUAGES. Rows whose language or text is NULL, or whose text
     has no letter, teach nothing.
     """
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("o"))
     rows = rows.where("lang is not null and text is not null")
     hashes = stage(rows.groupBy("lang", "o").count(), "hashes")
-    names = hashes.groupBy("lang").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
     first = Window.partitionBy("lang").orderBy("o")
     chosen = (
         hashes.withColumn("r", F.row_number().over(first)).where(F.col("r") <= sample_docs)
-        .join(names.select("lang"), "lang").groupBy("lang").agg(F.max("o").alias("cut"))
+        .groupBy("lang").agg(F.max("o").alias("cut"))
     )
     cuts = F.broadcast(chosen)  # one row per language
     sample = rows.join(cuts, "lang").where("o <= cut").groupBy("lang", "o").agg(F.first("text").alias("text"))
@@ -114,20 +113,23 @@ def learn(
 
     counted = sample.select("lang", "text").mapInPandas(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     common = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = counted.withColumn("r", F.row_number().over(common)).where(F.col("r") <= sample_words).drop("r").toPandas()
+    n = chosen.count()
+    each = max(1, min(sample_words, sample_words * FULL_LANGUAGES // max(1, n)))
+    top = counted.withColumn("r", F.row_number().over(common)).where(F.col("r") <= each).drop("r").toPandas()
     languages = tuple(sorted(top["lang"].unique()))
-    table = np.full((BUCKETS, max(1, len(languages))), 0.2)
+    table = np.full((BUCKETS, max(1, len(languages))), 0.2, np.float64 if n <= FULL_LANGUAGES else np.float32)
     written: dict[str, np.ndarray] = {}
+    by_name = dict(iter(top.groupby("lang")))
     for i, name in enumerate(languages):
-        part = top[top["lang"] == name]
+        part = by_name[name]
         words, weight = part["word"].tolist(), part["n"].to_numpy(np.float64)
         for ids, word in grams(words, SIZES, BUCKETS):
             table[:, i] += np.bincount(ids, weights=weight[word], minlength=BUCKETS)
         used = Counter()
-        for at, n in enumerate(np.bincount(scripts_of(words), weights=weight, minlength=len(SCRIPTS))):
-            used[SCRIPTS[at][1]] += n
-        for script, n in used.items():
-            if n and n >= 0.01 * weight.sum():
+        for at, times in enumerate(np.bincount(scripts_of(words), weights=weight, minlength=len(SCRIPTS))):
+            used[SCRIPTS[at][1]] += times
+        for script, times in used.items():
+            if times and times >= 0.01 * weight.sum():
                 written.setdefault(script, np.zeros(len(languages), dtype=bool))[i] = True
     ratio = np.log(table / table.sum(axis=0))
     ratio -= ratio.mean(axis=1, keepdims=True)
@@ -149,12 +151,14 @@ def _only(scores: np.ndarray, switch: float) -> int | None:
 
 def _paths(scores: np.ndarray, texts: list[np.ndarray], switch: float) -> list[np.ndarray]:
     """The best language of every word: Viterbi over many texts at once, longest first."""
-    out: list[np.ndarray] = [np.empty(0, np.uint8)] * len(texts)
+    number = np.min_scalar_type(scores.shape[1])
+    most = min(1 << 19, (1 << 27) // max(1, scores.shape[1]))  # words at once
+    out: list[np.ndarray] = [np.empty(0, number)] * len(texts)
     order = sorted((i for i in range(len(texts)) if len(texts[i])), key=lambda i: -len(texts[i]))
     at = 0
     while at < len(order):
         longest = len(texts[order[at]])
-        group = order[at : at + max(1, (1 << 19) // longest)]
+        group = order[at : at + max(1, most // longest)]
         at += len(group)
         lengths = np.array([len(texts[i]) for i in group])
         words = np.zeros((longest, len(group)), dtype=np.int64)
@@ -163,7 +167,7 @@ def _paths(scores: np.ndarray, texts: list[np.ndarray], switch: float) -> list[n
         running = np.searchsorted(-lengths, -np.arange(longest), side="left")  # texts longer than t
         best = scores[words[0]].astype(np.float64)
         stay = np.ones((longest, *best.shape), dtype=bool)
-        source = np.zeros((longest, len(group)), dtype=np.uint8)
+        source = np.zeros((longest, len(group)), dtype=number)
         for t in range(1, longest):
             n = running[t]
             now = best[:n]
@@ -171,8 +175,8 @@ def _paths(scores: np.ndarray, texts: list[np.ndarray], switch: float) -> list[n
             jump = now.max(axis=1, keepdims=True) - switch
             stay[t, :n] = now >= jump
             best[:n] = np.maximum(now, jump) + scores[words[t, :n]]
-        path = np.zeros((longest, len(group)), dtype=np.uint8)
-        state = best.argmax(axis=1).astype(np.uint8)
+        path = np.zeros((longest, len(group)), dtype=number)
+        state = best.argmax(axis=1).astype(number)
         column = np.arange(len(group))
         for t in range(longest - 1, -1, -1):
             n = running[t]
@@ -190,7 +194,7 @@ def _spans(text: str, words: list[str], path: np.ndarray, names: tuple[str, ...]
     letters = np.bincount(path, weights=[len(w) for w in words], minlength=len(names))
     top = int(letters.argmax())
     places = [m.span() for m in _places(text)]
-    ends = np.flatnonzero(np.diff(path, append=255)).tolist()
+    ends = np.flatnonzero(np.diff(path.astype(np.int64), append=-1)).tolist()
     firsts = [0, *(e + 1 for e in ends[:-1])]
     spans = [{"start": places[a][0], "end": places[b][1], "lang": names[path[b]]} for a, b in zip(firsts, ends)]
     return names[top], float(letters[top] / letters.sum()), spans
@@ -204,13 +208,13 @@ def identify(docs: DataFrame, model: Model, text: str = "text", switch: float =
     end exclusive. NULL and empty texts and texts without a letter are ``und`` with score 0
     and no spans, and so is every text if the model knows no language.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS rows of MOST_LANGUAGES numbers at most
+    held = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS rows of a number for each language
 
     @F.pandas_udf("lang string, score double, spans array<struct<start:int,end:int,lang:string>>")
     def labelled(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = held.value
         names, n = known.languages, len(known.languages)
-        rows = WordCache(known.scores, max(1, n), cache)
+        rows = WordCache(known.scores, max(1, n), min(cache, max(1024, cache * FULL_LANGUAGES // max(1, n))))
         for part in parts:
             texts = part.tolist()
             found: list[tuple] = []

@@ -278,3 +278,16 @@ def test_a_dotted_capital_keeps_the_spans(spark):
     asked = spark.createDataFrame([(en * 6 + "D\u0130YARBAKIR " + fr * 6,)], "text string")
     found = asked.select(language.identify(asked, language.learn(known)).alias("x")).first()["x"]
     assert [s["lang"] for s in found["spans"]] in (["en", "fr"], ["fr", "en"]) and found["spans"][-1]["end"] == len(en * 12 + fr * 12) // 2 + 11 - 1
+
+
+def test_more_than_255_languages(spark):
+    letters, n = "abcdefghijklmnop", 300
+    rows = [(i, f"x{i:03d}", " ".join(f"{letters[i // 16 % 16]}{letters[i % 16]}{letters[i // 256]}{c}q" for c in letters) + " ") for i in range(n)]
+    known = spark.createDataFrame([(i, lang, t * 3) for i, lang, t in rows], "doc_id long, lang string, text string")
+    model = language.learn(known)
+    assert len(model.languages) == n
+    asked = known.withColumn("x", language.identify(known, model)).select("lang", "x.*", F.col("x.lang").alias("own")).collect()
+    assert sum(r[0] == r["own"] for r in asked) > 0.95 * n
+    mixed = spark.createDataFrame([(rows[290][2] * 4 + rows[10][2] * 4,)], "text string")
+    spans = mixed.select(language.identify(mixed, model)["spans"].alias("s")).first()["s"]
+    assert [s["lang"] for s in spans] == ["x290", "x010"]
