@@ -20,7 +20,7 @@ from ..operators.rollup import utility_rollup
 from ..plans.features import build_features
 from ..plans.layered import run_gated, run_layers
 from ..plans.report import report_tables
-from ..session import staged_path, staging_root, tune
+from ..session import stage, staged_path, staging_root, tune
 from ..sources import layers as L
 from ..sources import publish as P
 from ..sources.delimited import export_csv, read_text_columns
@@ -660,27 +660,22 @@ def scoring_features(spark, sf_dir):
     )
 
 
-def _small_specs():
-    return M.model_specs(
-        lr_iterations=30, tree_depth=5, forest_trees=10, boost_iterations=3, boost_depth=3
-    )
-
-
 @query
 def train_grid(spark, sf_dir):
-    """Both feature sets, all five models at reduced sizes, the 20% label."""
-    return M.run_grid(gold(spark, sf_dir), _small_specs(), top_shares=(0.20,)).results
+    """Both feature sets, all five models at their default sizes, both labels."""
+    return M.run_grid(gold(spark, sf_dir)).results
 
 
 @query
 def batch_score(spark, sf_dir):
-    table = gold(spark, sf_dir)
-    spec = _small_specs()["Logistic Regression"]
+    """Logistic regression at its default size, fitted on the training part, for the test part."""
+    table = stage(M.with_test_flag(gold(spark, sf_dir), [K.KEY], K.LABEL), "split")
+    spec = M.model_specs()["Logistic Regression"]
     wide = M.feature_sets(table)[M.WIDE]
-    train = table.withColumn("label", F.col(K.LABEL))
+    train = table.where("not is_test").withColumn("label", F.col(K.LABEL))
     model = M.fit_pipeline(train, spec, wide, list(M.CATEGORICAL))
     inputs = [K.ident(c) for c in (K.KEY, *wide, *M.CATEGORICAL)]
-    scored = scoring.batch_score(model, table.select(*inputs))
+    scored = scoring.batch_score(model, table.where("is_test").select(*inputs))
     return scored.select(
         F.col(K.ident(K.KEY)).alias("utility_number"),
         "risk_label", "risk_probability", "confidence", "message",

@@ -128,3 +128,22 @@ def test_grid_trains_stores_and_scores(spark, gold, tmp_path):
     assert scored["total_crops_damage_usd"] == pytest.approx(150000.0)
     assert scored["INJURIES_INDIRECT"] == 1.0 and scored["CAISO"] == 0
     assert 0 <= scored["risk_probability"] <= 1 and scored["confidence"] in ("High", "Medium", "Low")
+
+
+def test_training_queries_do_the_whole_job(spark, monkeypatch):
+    from gustline.operators import learning
+    from gustline.workload import queries
+
+    asked = {}
+
+    def grid(features, specs=None, top_shares=learning.TOP_SHARES, **more):
+        asked.update(specs=learning.model_specs() if specs is None else specs, shares=tuple(top_shares))
+        return learning.GridResult(features, None, None)
+
+    monkeypatch.setattr(queries.M, "run_grid", grid)
+    where = "/root/testdata/sf0.001"
+    queries.QUERIES["train_grid"](spark, where)
+    assert asked == {"specs": learning.model_specs(), "shares": (0.10, 0.20)}
+    rows = queries.gold(spark, where).count()
+    scored = queries.QUERIES["batch_score"](spark, where).count()
+    assert 0 < scored <= 0.25 * rows
