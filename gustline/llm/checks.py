@@ -39,4 +39,47 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
-SQL: dict[str, str] = {"op4_warc": WARC, "op8_top_k": TOP_K}
+EXACT = """
+WITH d AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents
+), g AS (
+  SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY body
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM d JOIN g USING (body)
+"""
+
+#: crc32 of the decimal id, from the 256 remainders of its bytes; turns are compared as whole lists.
+TRIE = """
+WITH t AS (
+  SELECT list(list_reduce([i] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS crc
+  FROM range(256) r(i)
+), own AS (
+  SELECT conv_id, list({r: coalesce(role, ''), t: coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), h AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, turns,
+    (xor(list_reduce([4294967295] || list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT),
+      lambda c, b: xor(c // 256, crc[xor(c, b) % 256 + 1])), 4294967295) % 6)::BIGINT AS h
+  FROM own, t
+), p AS (
+  SELECT h.conv_id, list_concat(coalesce(b.turns, [])[1:h], h.turns[h + 1:]) AS path FROM h LEFT JOIN own b ON b.conv_id = h.base
+), e AS (
+  SELECT conv_id, d, path[1:d] AS path FROM (SELECT conv_id, path, unnest(range(len(path) + 1)) AS d FROM p)
+), a AS (
+  SELECT e.path, e.d AS depth, min(e.conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(e.conv_id::VARCHAR, ',' ORDER BY e.conv_id) FILTER (len(p.path) = e.d), '')) AS ends_sha256
+  FROM e JOIN p USING (conv_id) GROUP BY ALL
+), c AS (
+  SELECT a.path, count(b.path) AS n_children FROM a LEFT JOIN a b ON b.depth = a.depth + 1 AND b.path[1:a.depth] = a.path GROUP BY a.path
+), f AS (
+  SELECT a.*, n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(path[depth].t) END AS saved FROM a JOIN c USING (path)
+), u AS (
+  SELECT path[1:k] AS path, n_children, saved FROM (SELECT *, unnest(range(depth + 1)) AS k FROM f)
+), s AS (
+  SELECT path, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM u GROUP BY path
+)
+SELECT f.conv_id, f.depth, up.conv_id AS parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens, f.ends_sha256
+FROM f JOIN s USING (path) LEFT JOIN f up ON f.depth > 0 AND up.path = f.path[1:f.depth - 1] AND up.depth = f.depth - 1
+"""
+
+SQL: dict[str, str] = {"op4_warc": WARC, "op8_top_k": TOP_K, "op12_exact_dedup": EXACT, "op13_prefix_trie": TRIE}

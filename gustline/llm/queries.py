@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gustline.llm import language, mixing, order_minhash, packing, secrets, simhash, token_counts, topk, toxicity, warc
+from gustline.llm import (
+    exact, language, mixing, order_minhash, packing, periodic, prefix_trie, secrets, simhash, token_counts, topk, toxicity, warc,
+)
 from gustline.llm.common import fold, held_out, table
 from gustline.session import staged_path
 
@@ -83,6 +85,21 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.digest(order_minhash.compare_edits(table(spark, sf_dir, "documents")))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    planted = periodic.with_planted_run(F.col("doc_id"), F.col("text"))
+    return periodic.digest(docs.select("doc_id", periodic.periodic_runs(planted).alias("found")))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = prefix_trie.paths_of(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(paths))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
@@ -94,4 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_top_k": op8_top_k,
     "op9_simhash": op9_simhash,
     "op10_order_minhash": op10_order_minhash,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_prefix_trie": op13_prefix_trie,
 }
