@@ -2,7 +2,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import ACCEPTED, REPEATED, as_file, mixed_events, usual_events
+from feed_rows import ACCEPTED, REPEATED, as_file, mixed_events, usual_events
 from gustline import contract as K
 from gustline.operators import clean as C, quality as Q
 from gustline.plans.layered import run_gated, run_layers
