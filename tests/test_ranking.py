@@ -54,11 +54,40 @@ def test_quantiles_equal_pandas(skewed):
 def test_plan_spreads_hot_values(skewed):
     _, df = skewed
     text = plan(W.with_percent_rank(df, {"r": "x"}, ["k"]))
-    assert "CartesianProduct" not in text and "NestedLoop" not in text
+    assert "Join" not in text and "CartesianProduct" not in text
     assert "Python" not in text
-    # The lane is part of the join key, so hot rows do not meet in one reducer.
-    joins = [line for line in text.splitlines() if "Left keys" in line]
-    assert any("_lane" in line for line in joins)
+    # The lane is part of the shuffle's key, so hot rows do not meet in one reducer.
+    dealt = [line for line in text.splitlines() if "hashpartitioning" in line]
+    assert len(dealt) == 1 and "_lane" in dealt[0]
+
+
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_ranks_of_any_number_of_ranges(spark, skewed, parts):
+    pdf, df = skewed
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        two = df.withColumn("same", F.lit(4.0)).withColumn("none", F.lit(None).cast("double"))
+        got = W.with_percent_rank(two, {"r": "x", "s": "same", "n": "none"}, ["k"]).toPandas().sort_values("k")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert (got.r.to_numpy() == pdf.x.rank(pct=True, na_option="bottom").to_numpy()).all()
+    assert set(got.s) == set(got.n) == {(4000 + 1) / 2 / 4000}
+
+
+def test_quantiles_of_many_values(spark):
+    """Brackets far narrower than the values, on values spread over many magnitudes."""
+    rng = np.random.default_rng(1)
+    x = np.concatenate([np.exp(rng.normal(0, 9, 60_000)), -rng.random(20_000), np.full(20_000, 2.5), [np.inf, -np.inf]])
+    pdf = pd.DataFrame({"x": x, "g": np.where(rng.random(len(x)) < 0.9, "a", None)})
+    df = stage(spark.createDataFrame(pdf), "many")
+    shares = [0.001, 0.3, 0.5, 0.501, 0.999]
+    by = {r["g"]: r["q"] for r in W.exact_quantiles(df, "x", shares, ["g"]).collect()}
+    for g, part in (("a", pdf[pdf.g == "a"]), (None, pdf[pdf.g.isna()])):
+        assert by[g] == pytest.approx(part.x.quantile(shares).tolist(), rel=1e-9)
+    assert W.exact_quantiles(df, "x", shares).first()["q"] == pytest.approx(pdf.x.quantile(shares).tolist(), rel=1e-9)
+    empty = df.limit(0)
+    assert W.exact_quantiles(empty, "x", [0.5]).first()["q"] == [None] and W.column_medians(empty, ["x"]) == {}
 
 
 def test_metrics_equal_definition(spark):
