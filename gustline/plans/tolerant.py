@@ -11,7 +11,7 @@ from ..sources.layers import write_table
 
 def clean_file(
     spark: SparkSession, raw_csv: str, parquet_path: str, csv_path: str | None = None,
-    damage_copies: bool = False, multi_line: bool = False,
+    damage_copies: bool = False, multi_line: bool | None = None,
 ) -> DataFrame:
     """Clean a raw file into Parquet and, when asked, a delimited copy."""
     lines = read_text_columns(spark, raw_csv, multi_line)

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from .. import contract as K
-from .delimited import CORRUPT, malformed, read_text_columns, well_formed
+from .delimited import CORRUPT, file_name, malformed, read_text_columns, well_formed
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 EVENTS, QUARANTINE, REJECTED_LINES = "outage_events", "quarantine", "rejected_lines"
@@ -23,6 +23,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     df.write.mode(mode).option("compression", "zstd").parquet(path)
     return path
@@ -39,15 +44,17 @@ def silver_contract(silver: DataFrame) -> DataFrame:
     return silver.select(*[K.ident(c) for c in K.SILVER_COLUMNS])
 
 
+SOURCE = "_source_file"
+
+
 def with_lineage(raw: DataFrame, batch_id: str, ingested_at: str) -> DataFrame:
-    """Add batch id, ingestion time, source file and a unique row id."""
-    # The file name arrives percent-encoded.
-    file_name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-    return raw.select(
-        "*",
+    """Add batch id, ingestion time, source file (unless ``raw`` names it already) and a unique row id."""
+    rows = raw if SOURCE in raw.columns else raw.withColumn(SOURCE, file_name(F.col("_metadata.file_path")))
+    return rows.select(
+        *[F.col(K.ident(c)) for c in raw.columns if c != SOURCE],
         F.lit(batch_id).alias("_batch_id"),
         F.lit(ingested_at).cast("timestamp").alias("_ingested_at"),
-        file_name.alias("_source_file"),
+        SOURCE,
         F.monotonically_increasing_id().alias(K.ROW_ID),
     )
 
@@ -59,18 +66,20 @@ def land_bronze(
     batch_id: str,
     ingested_at: str,
     limit: int | None = None,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> dict:
     """Land a delimited file as text columns with lineage; a batch is written once only.
 
     One pass over the file writes the good lines and counts the bad ones; the bad lines
-    are read again and kept only when there are any. ``limit`` keeps that many good lines
-    and changes nothing else: all bad lines are counted and kept.
+    are read again and kept only when there are any. ``limit``, for development, keeps that many
+    good lines (in one task, after one more read) and changes nothing else: all bad lines are
+    counted and kept. Line breaks inside quotes are found unless ``multi_line`` says whether
+    there are any.
     """
     path = batch_path(data_dir, BRONZE, EVENTS, batch_id)
     if path_exists(spark, path):
         raise FileExistsError(f"batch {batch_id} has landed before, its Bronze rows stay as they are: {path}")
-    lines = read_text_columns(spark, raw_csv, multi_line)
+    lines = read_text_columns(spark, raw_csv, multi_line, source=SOURCE)
     bad = Observation()
     count_bad = F.count(F.when(F.col(CORRUPT).isNotNull(), F.lit(1))).alias("lines")
     landed = with_lineage(lines, batch_id, ingested_at)
@@ -82,7 +91,7 @@ def land_bronze(
         skipped = lines.select(CORRUPT, lines.columns[0]).agg(count_bad).first()["lines"]
     if skipped:
         rejects = batch_path(data_dir, BRONZE, REJECTED_LINES, batch_id)
-        write_table(malformed(lines), rejects)
+        write_table(malformed(lines.drop(SOURCE)), rejects)
     rows = spark.read.parquet(path).count()
     return {"path": path, "rows": rows, "malformed_lines_skipped": skipped}
 
