@@ -23,6 +23,12 @@ NUMBER_WORD = r"^[+-]?(?i:inf|infinity|nan)$"
 EVENT_TIME = r"^(\d{1,2})-([A-Za-z]{3})-(\d{1,2}) +(\d{1,2}):(\d{1,2}):(\d{1,2})$"
 
 
+def stripped(text: Column) -> Column:
+    """Without white space at either end; cells that have none there aren't searched."""
+    edge = F.left(text, F.lit(1)).isin(*WHITESPACE) | F.right(text, F.lit(1)).isin(*WHITESPACE)
+    return F.when(edge, F.btrim(text, F.lit(WHITESPACE))).otherwise(text)
+
+
 def strict_double(text: Column) -> Column:
     """Text to double, NULL when it is not a number.
 
@@ -30,7 +36,7 @@ def strict_double(text: Column) -> Column:
     character first. It also takes "1d", "1f" and hexadecimal floats; those are not
     numbers in a data file.
     """
-    trimmed = F.btrim(text, F.lit(WHITESPACE))
+    trimmed = stripped(text)
     plain = F.right(trimmed, F.lit(1)).isin(*"0123456789.")
     plain = plain & ~trimmed.contains("x") & ~trimmed.contains("X")
     word = (F.length(trimmed) >= 3) & trimmed.rlike(NUMBER_WORD)
@@ -38,9 +44,8 @@ def strict_double(text: Column) -> Column:
 
 
 def negative_number(text: Column) -> Column:
-    """True for a number below zero; parses only cells that start with a minus."""
-    below = F.btrim(text, F.lit(WHITESPACE)).startswith("-") & (strict_double(text) < 0)
-    return F.coalesce(below, F.lit(False))
+    """True for a number below zero; parses only cells with a minus in them."""
+    return F.coalesce(text.contains("-") & (strict_double(text) < 0), F.lit(False))
 
 
 def zero_filled(value: Column) -> Column:
@@ -52,13 +57,18 @@ def coerced(text: Column) -> Column:
     return zero_filled(strict_double(text))
 
 
-def integer_key(text: Column) -> Column:
-    """Text to bigint through double, half-even, NULL when unreadable or out of range."""
-    number = F.rint(strict_double(text))
+def whole_key(value: Column) -> Column:
+    """Double to bigint, half-even, NULL when missing or out of range."""
+    number = F.rint(value)
     # 2^63 as a double would come out as the largest bigint
     return F.when((number >= -(2.0**63)) & (number < 2.0**63), number.cast("bigint"))
 
 
+def integer_key(text: Column) -> Column:
+    """Text to bigint through double, half-even, NULL when unreadable or out of range."""
+    return whole_key(strict_double(text))
+
+
 def text_or_unknown(text: Column) -> Column:
     return F.coalesce(F.nullif(F.trim(text), F.lit("")), F.lit(K.UNKNOWN))
 

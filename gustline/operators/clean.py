@@ -38,31 +38,47 @@ def raw_number(column: str) -> Column:
     return S.strict_double(F.col(K.ident(column)))
 
 
-def reject_reason() -> Column:
-    """Reason code of a raw row, first match wins; NULL when the row is fine."""
+#: Where ``with_numbers`` keeps the number of a text column.
+NUMBERS = {c: f"_number{i}" for i, c in enumerate((K.KEY, *K.FLOAT_COLUMNS))}
+
+
+def with_numbers(bronze: DataFrame) -> DataFrame:
+    """Every numeric cell parsed once, for all that count, reject or type it, and the reject reason."""
+    require_columns(bronze, K.EVENT_CONTRACT)
+    numbers = bronze.withColumns({held: raw_number(c) for c, held in NUMBERS.items()})
+    below = [F.coalesce(F.col(NUMBERS[c]) < 0, F.lit(False)) for c in K.NON_NEGATIVE_COLUMNS]
+    return numbers.withColumn(K.REJECT_REASON, _reason(below))
+
+
+def _reason(negative: Sequence[Column]) -> Column:
     state = F.col(K.ident(K.STATE))
-    negative = reduce(
-        lambda a, b: a | b,
-        [S.negative_number(F.col(K.ident(c))) for c in K.NON_NEGATIVE_COLUMNS],
-    )
     return F.when(state.isNull() | ~state.isin(*K.STATES), F.lit(K.INVALID_STATE)).when(
-        negative, F.lit(K.NEGATIVE_VALUE)
+        reduce(lambda a, b: a | b, negative), F.lit(K.NEGATIVE_VALUE)
     )
 
 
-def typed_columns(damage_mode: str = "numeric") -> list[Column]:
-    """The 38 Silver columns as expressions over raw text columns."""
+def reject_reason() -> Column:
+    """Reason code of a raw row, first match wins; NULL when the row is fine."""
+    return _reason([S.negative_number(F.col(K.ident(c))) for c in K.NON_NEGATIVE_COLUMNS])
+
+
+def typed_columns(damage_mode: str = "numeric", parsed: bool = False) -> list[Column]:
+    """The 38 Silver columns as expressions over raw text columns.
+
+    With ``parsed`` the numbers are those that ``with_numbers`` has read.
+    """
     if damage_mode not in ("numeric", "suffix"):
         raise ValueError(f"damage mode must be 'numeric' or 'suffix', not {damage_mode!r}")
     out = []
     for name in K.EVENT_CONTRACT:
         raw = F.col(K.ident(name))
+        number = F.col(NUMBERS[name]) if parsed and name in NUMBERS else S.strict_double(raw)
         if name in K.DAMAGE and damage_mode == "suffix":
             value = S.damage_usd(raw)
         elif name in K.FLOAT_COLUMNS:
-            value = S.coerced(raw)
+            value = S.zero_filled(number)
         elif name == K.KEY:
-            value = S.integer_key(raw)
+            value = S.whole_key(number)
         elif name in K.DEFAULTED_TEXT:
             value = S.text_or_unknown(raw)
         else:
