@@ -64,45 +64,29 @@ def exposure_join(
 ) -> DataFrame:
     """Inner equi join: one row per (territory row, event) that share ``keys``.
 
-    Keys with more events than a shuffle partition holds on average are hot: fewer than
-    there are partitions, which bounds what is broadcast. Each of their events takes one of
-    ``spread`` lanes by its content, and their territory rows are repeated once per lane.
-    All other keys join as they are.
+    Keys with more events than a shuffle partition holds on average are hot. A mergeable
+    summary of the frequent keys' hashes, made in the map stage, names them (give or take half
+    such a share, which changes the work only): at most as many as there are partitions, which
+    bounds what is broadcast. Each of their events takes one of ``spread`` lanes by its content,
+    and their territory rows are repeated once per lane. All other keys join as they are.
     """
     if spread <= 1:
         return territory.join(events, list(keys), "inner")
     partitions = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
+    tracked = min(1 << (8 * partitions + 1024).bit_length(), 1_000_000)
+    key = F.xxhash64(*[K.ident(c) for c in keys])
+    summary = events.select(key.alias("_hash")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.expr(f"approx_top_k(_hash, {min(partitions, tracked)}, {tracked})").alias("_top")
+    )
     hot = F.broadcast(
-        counts.filter(F.col("_n") * partitions > total).select(*keys, F.lit(spread).alias("_lanes"))
+        summary.select("_rows", F.explode("_top").alias("_t")).filter(F.col("_t.count") * partitions > F.col("_rows"))
+        .select(F.col("_t.item").alias("_hot"), F.lit(spread).alias("_lanes"))
     )
     lanes = F.coalesce("_lanes", F.lit(1))
     lane = F.pmod(F.xxhash64(*[K.ident(c) for c in events.columns]), lanes).cast("int")
     repeated = F.explode(F.sequence(F.lit(0), lanes - 1))
-    return (
-        territory.join(hot, list(keys), "left").withColumn("_lane", repeated).drop("_lanes")
-        .join(
-            events.join(hot, list(keys), "left").withColumn("_lane", lane).drop("_lanes"),
-            [*keys, "_lane"],
-        )
-        .drop("_lane")
-    )
-
-
-def top_categories(df: DataFrame, column: str, k: int) -> DataFrame:
-    """The ``k`` commonest values of ``column`` (ties by name), as one column."""
-    quoted = K.ident(column)
-    return (
-        df.filter(F.col(quoted).isNotNull())
-        .groupBy(quoted)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .orderBy(F.col("_n").desc(), F.col(quoted))
-        .limit(k)
-        .select(quoted)
-    )
 
+    def with_lane(side: DataFrame, value: Column) -> DataFrame:
+        return side.join(hot, key == F.col("_hot"), "left").withColumn("_lane", value).drop("_hot", "_lanes")
 
-def within_top_categories(df: DataFrame, column: str, k: int) -> DataFrame:
-    """Only the rows of the ``k`` commonest categories: a semi join to at most k rows."""
-    return df.join(F.broadcast(top_categories(df, column, k)), [column], "left_semi")
+    return with_lane(territory, repeated).join(with_lane(events, lane), [*keys, "_lane"]).drop("_lane")

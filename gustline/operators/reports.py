@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import contract as K
 from ..functions import scalars as S
-from .joins import within_top_categories
+from ..session import stage
 from .ranking import exact_quantiles, min_max_scaled, quantile_array
 
 ALL_STATES, ALL_TYPES, ALL_REGIONS = "All States", "All Types", "All Regions"
@@ -26,6 +26,69 @@ def _count_high() -> Column:
     return F.count(F.when(_is_high(), F.lit(1)))
 
 
+#: What the additive tables need of a group of utilities: the column it is from, and how.
+_MEASURES = {
+    "avg_saidi": (K.SAIDI, F.avg),
+    "loss": (K.LOSS, F.sum),
+    "avg_loss": (K.LOSS, F.avg),
+    "breaches": (K.BREACH, lambda x: F.sum(x).cast("bigint")),
+    "events": (K.EVENT_COUNT, lambda x: F.sum(x).cast("bigint")),
+    "avg_events": (K.EVENT_COUNT, lambda x: F.sum(x) / F.count(x)),
+    "avg_label": (K.LABEL, lambda x: F.sum(x) / F.count(x)),
+    "damage": (K.TOTAL_DAMAGE, F.sum),
+    "avg_damage": (K.TOTAL_DAMAGE, F.avg),
+    "avg_human": (K.HUMAN_IMPACT, F.avg),
+}
+
+
+def _measures(columns: Sequence[str]) -> list[Column]:
+    """Every measure of the columns that a table has."""
+    of_columns = [made(F.col(c)).alias(name) for name, (c, made) in _MEASURES.items() if c in columns]
+    high = [_count_high().alias("high")] if K.TIER in columns else []
+    return [F.count(F.lit(1)).alias("utilities"), *high, *of_columns]
+
+
+class Cube:
+    """All measures of a selection for every set of keys of the additive tables, from one scan.
+
+    Those tables take either a selection, of which each scans its own columns, or its cube,
+    whose rows are a state, a region, an ownership and tier each.
+    """
+
+    SETS = ((), (K.STATE,), (K.REGION,), (K.OWNERSHIP,), (K.TIER,), (K.OWNERSHIP, K.TIER))
+
+    def __init__(self, selected: DataFrame) -> None:
+        self._keys = list(dict.fromkeys(k for s in self.SETS for k in s))
+        columns = {k: F.col(K.ident(k)) for k in self._keys}
+        grouped = selected.groupingSets([[columns[k] for k in s] for s in self.SETS], *columns.values())
+        left_out = [F.grouping(c).alias(f"_without{i}") for i, c in enumerate(columns.values())]
+        self._rows = stage(grouped.agg(*left_out, *_measures(selected.columns)), "cube")
+
+    def by(self, *wanted: str) -> DataFrame:
+        """The groups of one set; the empty set has one row for an empty selection, too."""
+        found = self._rows
+        for i, k in enumerate(self._keys):
+            found = found.filter(F.col(f"_without{i}") == (0 if k in wanted else 1))
+        names = [c for c in found.columns if c not in self._keys and not c.startswith("_without")]
+        if wanted:
+            return found.select(*[K.ident(k) for k in wanted], *names)
+        counts = {c: F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("utilities", "high")}
+        return found.agg(*[counts.get(c, F.max(c).alias(c)) for c in names])
+
+
+def measures_by(selected: DataFrame | Cube, *keys: str) -> DataFrame:
+    """One row per combination of ``keys`` with every measure; unused ones are pruned."""
+    if isinstance(selected, Cube):
+        return selected.by(*keys)
+    return selected.groupBy(*[K.ident(k) for k in keys]).agg(*_measures(selected.columns))
+
+
+def _commonest(groups: DataFrame, key: str, k: int) -> DataFrame:
+    """The ``k`` groups with the most utilities, ties by name."""
+    quoted = K.ident(key)
+    return groups.filter(F.col(quoted).isNotNull()).orderBy(F.desc("utilities"), quoted).limit(k)
+
+
 def state_risk_summary(features: DataFrame) -> DataFrame | None:
     """Utilities and high-risk share per state; None when state or label is absent."""
     lowered = {c.lower(): c for c in features.columns}
@@ -76,45 +139,35 @@ def filtered(
     return features.filter(matches | (found == 0))
 
 
-def kpi_row(selected: DataFrame, features: DataFrame) -> DataFrame:
+def kpi_row(selected: DataFrame | Cube, features: DataFrame) -> DataFrame:
     """Headline numbers of a selection, with its SAIDI distance to the whole table."""
     overall = features.agg(F.avg(F.col(K.SAIDI))).scalar()
-    row = selected.agg(
-        F.count(F.lit(1)).alias("utilities"),
-        _count_high().alias("high_risk"),
-        F.count_distinct(K.STATE).alias("states"),
-        F.avg(F.col(K.SAIDI)).alias("avg_saidi"),
-        F.sum(F.col(K.LOSS)).alias("annual_loss_usd"),
-        F.sum(K.BREACH).cast("bigint").alias("sla_breaches"),
-        F.sum(K.EVENT_COUNT).cast("bigint").alias("storm_events"),
-    )
-    share = F.lit(100.0) * F.col("high_risk") / F.greatest(F.col("utilities"), F.lit(1))
-    return row.withColumn("high_risk_pct", share).withColumn(
-        "saidi_delta", F.col("avg_saidi") - overall
+    states = measures_by(selected, K.STATE).filter(F.col(K.STATE).isNotNull()).agg(F.count(F.lit(1))).scalar()
+    row = measures_by(selected)
+    share = F.lit(100.0) * F.col("high") / F.greatest(F.col("utilities"), F.lit(1))
+    return row.select(
+        "utilities", F.col("high").alias("high_risk"), states.alias("states"), "avg_saidi",
+        F.col("loss").alias("annual_loss_usd"), F.col("breaches").alias("sla_breaches"),
+        F.col("events").alias("storm_events"), share.alias("high_risk_pct"),
+        (F.col("avg_saidi") - overall).alias("saidi_delta"),
     )
 
 
-def top_findings(selected: DataFrame) -> DataFrame:
+def top_findings(selected: DataFrame | Cube) -> DataFrame:
     """One row: leading state, ownership and region, and the loss in billions."""
 
-    def leader(df: DataFrame, column: str, measure: Column) -> DataFrame:
+    def leader(column: str, measure: str) -> Column:
         quoted = K.ident(column)
-        ranked = (
-            df.filter(F.col(quoted).isNotNull())
-            .groupBy(quoted)
-            .agg(measure.alias("measure"))
-            .orderBy(F.desc("measure"), quoted)
-            .limit(1)
-        )
-        return ranked.select(F.struct(F.col(quoted).alias("name"), "measure"))
-
-    high = selected.filter(_is_high())
-    rows = F.count(F.lit(1))
-    state = leader(high, K.STATE, rows).scalar()
-    ownership = leader(high, K.OWNERSHIP, rows).scalar()
-    region = leader(selected, K.REGION, F.avg(F.col(K.SAIDI))).scalar()
+        ranked = measures_by(selected, column).filter(F.col(quoted).isNotNull())
+        if measure == "high":
+            ranked = ranked.filter(F.col(measure) > 0)
+        first = ranked.orderBy(F.desc(measure), quoted).limit(1)
+        return first.select(F.struct(F.col(quoted).alias("name"), F.col(measure).alias("measure"))).scalar()
+
+    state, ownership = leader(K.STATE, "high"), leader(K.OWNERSHIP, "high")
+    region = leader(K.REGION, "avg_saidi")
     absent = F.lit("N/A")
-    return selected.agg((F.sum(F.col(K.LOSS)) / F.lit(1e9)).alias("loss_billion_usd")).select(
+    return measures_by(selected).select((F.col("loss") / F.lit(1e9)).alias("loss_billion_usd")).select(
         F.coalesce(state.getField("name"), absent).alias("top_state"),
         F.coalesce(state.getField("measure"), F.lit(0)).alias("top_state_high_risk"),
         F.coalesce(ownership.getField("name"), absent).alias("top_ownership"),
@@ -123,36 +176,31 @@ def top_findings(selected: DataFrame) -> DataFrame:
     )
 
 
-def state_metric(selected: DataFrame, metric: str) -> DataFrame:
+def state_metric(selected: DataFrame | Cube, metric: str) -> DataFrame:
     """One value per state: mean SAIDI, high-risk percent, damage in B or loss in M."""
     value = {
-        "saidi": F.avg(F.col(K.SAIDI)),
-        "highrisk": F.lit(100.0) * _count_high() / F.count(F.lit(1)),
-        "damage": F.sum(F.col(K.TOTAL_DAMAGE)) / F.lit(1e9),
-    }.get(metric, F.sum(F.col(K.LOSS)) / F.lit(1e6))
-    return (
-        selected.filter(F.col(K.STATE).isNotNull())
-        .groupBy(F.col(K.STATE).alias("state"))
-        .agg(value.alias("value"))
-    )
+        "saidi": F.col("avg_saidi"),
+        "highrisk": F.lit(100.0) * F.col("high") / F.col("utilities"),
+        "damage": F.col("damage") / F.lit(1e9),
+    }.get(metric, F.col("loss") / F.lit(1e6))
+    known = measures_by(selected, K.STATE).filter(F.col(K.STATE).isNotNull())
+    return known.select(F.col(K.STATE).alias("state"), value.alias("value"))
 
 
-def tier_mix(selected: DataFrame) -> DataFrame:
+def tier_mix(selected: DataFrame | Cube) -> DataFrame:
     """Utilities per tier with their percentage."""
-    total = selected.agg(F.count(F.lit(1))).scalar()
-    return (
-        selected.groupBy(F.col(K.TIER).alias("tier"))
-        .agg(F.count(F.lit(1)).alias("utilities"))
-        .withColumn("pct", F.col("utilities") / total * F.lit(100.0))
+    total = measures_by(selected).select("utilities").scalar()
+    return measures_by(selected, K.TIER).select(
+        F.col(K.TIER).alias("tier"), "utilities", (F.col("utilities") / total * F.lit(100.0)).alias("pct")
     )
 
 
-def tier_by_ownership(selected: DataFrame, k: int = 6) -> DataFrame:
+def tier_by_ownership(selected: DataFrame | Cube, k: int = 6) -> DataFrame:
     """Utilities per ownership and tier for the ``k`` commonest ownerships."""
-    return (
-        within_top_categories(selected, K.OWNERSHIP, k)
-        .groupBy(F.col(K.OWNERSHIP).alias("ownership"), F.col(K.TIER).alias("tier"))
-        .agg(F.count(F.lit(1)).alias("utilities"))
+    top = _commonest(measures_by(selected, K.OWNERSHIP), K.OWNERSHIP, k).select(K.OWNERSHIP)
+    fine = measures_by(selected, K.OWNERSHIP, K.TIER)
+    return fine.join(F.broadcast(top), K.OWNERSHIP, "left_semi").select(  # at most k rows
+        F.col(K.OWNERSHIP).alias("ownership"), F.col(K.TIER).alias("tier"), "utilities"
     )
 
 
@@ -192,37 +240,29 @@ def score_histogram(selected: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFram
     )
 
 
-def region_heat(selected: DataFrame, k: int = 10) -> DataFrame:
+def region_heat(selected: DataFrame | Cube, k: int = 10) -> DataFrame:
     """Four means per region (the ``k`` commonest), raw and min-max scaled."""
-    means = (
-        within_top_categories(selected, K.REGION, k)
-        .groupBy(F.col(K.ident(K.REGION)).alias("region"))
-        .agg(
-            F.avg(F.col(K.SAIDI)).alias("avg_saidi"),
-            (F.sum(K.LABEL) / F.count(K.LABEL)).alias("pct_high"),
-            (F.sum(K.EVENT_COUNT) / F.count(K.EVENT_COUNT)).alias("avg_storms"),
-            (F.avg(F.col(K.LOSS)) / F.lit(1e6)).alias("avg_loss_musd"),
-        )
+    means = _commonest(measures_by(selected, K.REGION), K.REGION, k).select(
+        F.col(K.ident(K.REGION)).alias("region"), "avg_saidi", F.col("avg_label").alias("pct_high"),
+        F.col("avg_events").alias("avg_storms"), (F.col("avg_loss") / F.lit(1e6)).alias("avg_loss_musd"),
     )
     scaled = min_max_scaled(means, ["avg_saidi", "pct_high", "avg_storms", "avg_loss_musd"])
     return scaled.orderBy(F.desc("avg_saidi"), "region")
 
 
-def region_radar(selected: DataFrame, k: int = 7) -> DataFrame:
+#: Dimensions of the radar and their measures.
+RADAR = {
+    "saidi": "avg_saidi", "high_risk": "avg_label", "storm_events": "avg_events",
+    "damage": "avg_damage", "human_impact": "avg_human",
+}
+
+
+def region_radar(selected: DataFrame | Cube, k: int = 7) -> DataFrame:
     """Five min-max scaled means per region (the ``k`` commonest)."""
-    dims = {
-        "saidi": K.SAIDI,
-        "high_risk": K.LABEL,
-        "storm_events": K.EVENT_COUNT,
-        "damage": K.TOTAL_DAMAGE,
-        "human_impact": K.HUMAN_IMPACT,
-    }
-    means = (
-        within_top_categories(selected, K.REGION, k)
-        .groupBy(F.col(K.ident(K.REGION)).alias("region"))
-        .agg(*[F.avg(F.col(c)).alias(name) for name, c in dims.items()])
+    means = _commonest(measures_by(selected, K.REGION), K.REGION, k).select(
+        F.col(K.ident(K.REGION)).alias("region"), *[F.col(m).alias(name) for name, m in RADAR.items()]
     )
-    return min_max_scaled(means, list(dims), suffix="").orderBy("region")
+    return min_max_scaled(means, list(RADAR), suffix="").orderBy("region")
 
 
 def bubble_points(selected: DataFrame) -> DataFrame:
@@ -252,14 +292,12 @@ def bubble_points(selected: DataFrame) -> DataFrame:
     )
 
 
-def top_states(selected: DataFrame, k: int = 20) -> DataFrame:
+def top_states(selected: DataFrame | Cube, k: int = 20) -> DataFrame:
     """The states with the most high-risk utilities."""
+    known = measures_by(selected, K.STATE).filter((F.col("high") > 0) & F.col(K.STATE).isNotNull())
     return (
-        selected.filter(_is_high() & F.col(K.STATE).isNotNull())
-        .groupBy(F.col(K.STATE).alias("state"))
-        .agg(F.count(F.lit(1)).alias("high_risk"))
-        .orderBy(F.desc("high_risk"), "state")
-        .limit(k)
+        known.select(F.col(K.STATE).alias("state"), F.col("high").alias("high_risk"))
+        .orderBy(F.desc("high_risk"), "state").limit(k)
     )
 
 

@@ -56,6 +56,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that reliable checkpoints of iterative learners go to; set if the session has none."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(f"{shared_folder(spark)}/gustline-checkpoints")
+    return context.getCheckpointDir()
+
+
 def staging_root(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/gustline/{spark.sparkContext.applicationId}"
 

@@ -151,7 +151,7 @@ def bronze_lineage(spark, sf_dir):
 def quoted_lines(spark, sf_dir):
     """All documents, with their line breaks and quotes, through a CSV file."""
     docs = feed.tables(spark, sf_dir)("documents").select(F.col("doc_id").cast("string"), "lang", "text")
-    lines = read_text_columns(spark, export_csv(docs, staged_path(spark, "quoted-csv")), multi_line=True)
+    lines = read_text_columns(spark, export_csv(docs, staged_path(spark, "quoted-csv")))
     return lines.filter("_corrupt IS NULL").select(
         "doc_id", "lang", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"), F.length("text").alias("n_chars")
     )
