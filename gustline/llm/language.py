@@ -12,6 +12,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 import re
+import sys
 
 import numpy as np
 import pandas as pd
@@ -45,17 +46,38 @@ SWITCH = 12.0
 WORD_LIMIT = 6.0
 OUTSIDE = -20.0
 CACHE = 200_000
-_found = re.compile(r"[^\W\d_]+").findall
-_places = re.compile(r"[^\W\d_]+").finditer
-_letter = re.compile(r"[^\W\d_]").search
+
+
+def _letters() -> str:
+    """A character class of all letters: the code points of the categories L*, not numerals."""
+    out, last = [], -2
+    for point in range(sys.maxunicode + 1):
+        if chr(point).isalpha():
+            if point != last + 1:
+                out.append([point, point])
+            out[-1][1] = last = point
+    return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out) + "]+"
+
+
+_ANY, _ASCII = re.compile(_letters()), re.compile("[A-Za-z]+")
+
+
+def _pattern(text: str) -> re.Pattern:
+    return _ASCII if text.isascii() else _ANY
+
+
+def _places(text: str) -> Iterator[re.Match]:
+    return _pattern(text).finditer(text)
 
 
 def _words(text: str) -> list[str]:
-    """The words of a text in lower case, one for each of ``_places``.
+    """The words of a text, runs of letters, in lower case, one for each match of its pattern.
 
-    Of all letters only the capital I with a dot gets a second, which is none, in lower case.
+    Of all letters only the capital I with a dot gets a second code point, which is no letter, in
+    lower case.
     """
-    return [w.lower() for w in _found(text)] if "\u0130" in text else _found(text.lower())
+    find = _pattern(text).findall
+    return [w.lower() for w in find(text)] if "\u0130" in text else find(text.lower())
 
 
 def scripts_of(words: list[str]) -> np.ndarray:
@@ -206,13 +228,17 @@ def identify(docs: DataFrame, model: Model, text: str = "text", switch: float =
     ``lang`` is the language with most letters (of equals the first by name), ``score`` its
     share of the letters, ``spans`` the runs of words of one language, in code points with the
     end exclusive. NULL and empty texts and texts without a letter are ``und`` with score 0
-    and no spans, and so is every text if the model knows no language.
+    and no spans, and so is every text if the model knows no language. A letter is a code point
+    of one of the categories L*: digits and other numerals are none. Repeated texts have equal
+    results; texts of any length are labelled whole. The column is worked out once for each
+    row, even where a filter and another column read it.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS rows of a number for each language
+    # plain values, so that workers need no copy of this package: BUCKETS rows of a number for each language
+    held = docs.sparkSession.sparkContext.broadcast((model.languages, model.table, model.scripts))
 
     @F.pandas_udf("lang string, score double, spans array<struct<start:int,end:int,lang:string>>")
     def labelled(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = held.value
+        known = Model(*held.value)
         names, n = known.languages, len(known.languages)
         rows = WordCache(known.scores, max(1, n), min(cache, max(1024, cache * FULL_LANGUAGES // max(1, n))))
         for part in parts:
@@ -229,10 +255,11 @@ def identify(docs: DataFrame, model: Model, text: str = "text", switch: float =
                     if i in paths:
                         found.append(_spans(t, words[i], paths[i], names))
                     elif words[i]:
-                        first, last = _letter(t).start(), len(t) - _letter(t[::-1]).start()
+                        letter = _pattern(t).search
+                        first, last = letter(t).start(), len(t) - letter(t[::-1]).start()
                         found.append((names[only[i]], 1.0, [{"start": first, "end": last, "lang": names[only[i]]}]))
                     else:
                         found.append((UNKNOWN, 0.0, []))
             yield pd.DataFrame(found, columns=["lang", "score", "spans"])
 
-    return labelled(F.coalesce(F.col(text), F.lit("")))
+    return labelled.asNondeterministic()(F.coalesce(F.col(text), F.lit("")))
