@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gustline.llm.ngrams import WordCache, grams, summed
+from gustline.session import stage
 
 WINDOW = 48
 STRIDE = 32
@@ -27,7 +28,10 @@ BUCKETS = 1 << 18
 VOCABULARY = 20_000
 CHARS, WORDS, HIDDEN, ATTEND = 8, 8, 12, 12
 SAMPLE = (1000, 2000)  # toxic and other texts
-SAMPLE_WINDOWS = 10
+#: Windows of all sampled texts together; only beyond them texts are thinned out, the longest first.
+SAMPLE_WINDOWS = 30_000
+#: A longer word is read as several, alike in training and scoring.
+WORD_PIECE = 64
 STEPS = 300
 BATCH = 24  # texts of each kind
 SEED = 7
@@ -35,7 +39,7 @@ START = 0.02
 LEAN = 1.0
 DROP = 0.2  # share of words left out of a step
 CACHE = 200_000
-_find = re.compile(r"\w+").findall
+_find = re.compile(rf"\w{{1,{WORD_PIECE}}}").findall
 
 
 def words_of(text: str) -> list[str]:
@@ -181,10 +185,20 @@ class Model:
         return [np.array(f) for f in found]
 
 
+def fitting(sizes: np.ndarray, budget: int) -> int:
+    """The largest number to which each of ``sizes`` can be cut so that they sum up to the budget."""
+    low, high = 1, max(1, int(sizes.max(initial=1)))
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if np.minimum(sizes, middle).sum() <= budget else (low, middle - 1)
+    return low
+
+
 def sample_of(docs: DataFrame, labels: DataFrame, key: str, label: str, text: str, sizes: tuple[int, int]) -> tuple[pd.DataFrame, float]:
     """(label, windows) and the odds of label 1 over all labelled texts: at most ``sizes`` different texts of each label, those with the
-    smallest hashes, with at most SAMPLE_WINDOWS windows each, spaced evenly over the whole
-    text; a line is a window, its words stand between blanks. Only hashes meet the labels."""
+    smallest hashes, with all their windows; if those are more than SAMPLE_WINDOWS, no text
+    keeps more than a number with which they fit, spaced evenly over the whole text. A line
+    is a window, its words stand between blanks. Only hashes meet the labels."""
     marks = docs.where(F.col(text).isNotNull()).select(key, F.xxhash64(text).alias("o"))
     known = labels.select(key, F.col(label).cast("int").alias("label")).where("label in (0, 1)")
     one = marks.join(known, key).groupBy("label", "o").agg(F.min(key).alias(key))
@@ -196,15 +210,21 @@ def sample_of(docs: DataFrame, labels: DataFrame, key: str, label: str, text: st
         .groupBy("label", "o").agg(F.first("text").alias("text"))
     )
 
+    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            yield pd.DataFrame({"n": [len(windows_of(len(words_of(t)))) for t in part["text"]]})
+
+    texts = stage(texts, "sample")
+    most = fitting(texts.select("text").mapInPandas(count, "n long").toPandas()["n"].to_numpy(), SAMPLE_WINDOWS)
+
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             out = []
             for y, o, t in zip(part["label"], part["o"], part["text"]):
                 words = words_of(t)
                 places = windows_of(len(words))
-                picked = {round(i) for i in np.linspace(0, len(places) - 1, min(len(places), SAMPLE_WINDOWS))}
-                lines = (" ".join(w[:64] for w in words[slice(*places[i])]) for i in sorted(picked))
-                out.append((y, o, "\n".join(lines)))
+                picked = {round(i) for i in np.linspace(0, len(places) - 1, min(len(places), most))}
+                out.append((y, o, "\n".join(" ".join(words[slice(*places[i])]) for i in sorted(picked))))
             yield pd.DataFrame(out, columns=["label", "o", "windows"])
 
     found = texts.mapInPandas(cut, "label int, o long, windows string").toPandas()
@@ -339,7 +359,8 @@ def fit(
     """A model from texts and their labels. Rows with a NULL key or text, or a label other than
     0 and 1, teach nothing; without texts of both labels there is no model.
 
-    The driver sees at most sum(sizes) * SAMPLE_WINDOWS * WINDOW words of at most 64 characters.
+    The driver sees at most SAMPLE_WINDOWS (or one for each text, if those are more) windows of
+    WINDOW words of at most WORD_PIECE characters.
     """
     return train(*sample_of(docs, labels, key, label, text, sizes))
 
@@ -351,11 +372,14 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", cache: int =
     NULL texts are empty; a text without words is one empty window, scored by the output's
     bias alone. Without a model every score is 0. Repeated texts score alike.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)  # about 9 MB, whatever the corpus
+    # plain values, so that workers need no copy of this package: about 9 MB, whatever the corpus
+    plain = None if model is None else (model.network.w, model.chars, model.words, model.known)
+    held = docs.sparkSession.sparkContext.broadcast(plain)
 
     @F.pandas_udf("score double, windows int")
     def scored(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = held.value
+        plain = held.value
+        known = None if plain is None else Model(Network(plain[0]), *plain[1:])
         rows = None if known is None else WordCache(known.rows, 6 * HIDDEN, cache)
         for part in parts:
             texts, found = part.tolist(), []
