@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -27,6 +28,47 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` reads it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def running(values: Column, of: Callable[[Column], Column], join: Callable[[Column, Column], Column], block: int = 512) -> Column:
+    """array<struct<item, before>>: each item of ``values`` with the join of ``of`` over all before it.
+
+    ``of`` gives whole numbers from 0 on, ``join`` is associative with 0 as its neutral value (a sum, a
+    maximum). A fold that appends copies what it has at every step; so blocks are folded first, then
+    the items of each block, which keeps the work nearly in proportion to the length.
+    """
+    zero = F.lit(0)
+
+    def fold(items: Column, start: Column) -> Column:
+        begin = F.struct(start.alias("at"), F.slice(F.array(start), 1, 0).alias("out"))
+        return F.aggregate(
+            items, begin,
+            lambda s, x: F.struct(join(s["at"], of(x)).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")),
+            lambda s: s["out"],
+        )
+
+    def spread(items: Column) -> Column:
+        count = F.floor((F.size(items) + block - 1) / block).cast("int")
+        numbers = F.sequence(F.lit(1), F.greatest(count, F.lit(1)))
+        blocks = F.transform(numbers, lambda b: F.slice(items, (b - 1) * block + 1, F.lit(block)))
+        sums = F.transform(blocks, lambda b: F.aggregate(b, zero, lambda a, x: join(a, of(x))))
+        begin = F.struct(zero.alias("at"), F.slice(F.array(zero), 1, 0).alias("out"))
+        starts = F.aggregate(
+            sums, begin, lambda s, x: F.struct(join(s["at"], x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")),
+            lambda s: s["out"],
+        )
+        placed = F.transform(
+            F.arrays_zip(blocks.alias("items"), starts.alias("start")),
+            lambda z: F.arrays_zip(z["items"].alias("item"), fold(z["items"], z["start"]).alias("before")),
+        )
+        return F.flatten(placed)
+
+    return bind(values, spread)
+
+
 def each_copy(rows: DataFrame, n: str, copy: str, most: int = 4096) -> DataFrame:
     """One row for each of ``n`` copies, numbered from 0 in ``copy``.
 

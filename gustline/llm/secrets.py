@@ -2,7 +2,8 @@
 
 Everything is a column expression over one row: no shuffle, no Python. Spans come from the
 pieces between matches: ``split`` and ``regexp_extract_all`` walk a text in the same way, so
-running sums of both lengths give every match's place in code points.
+running sums of both lengths give every match's place in code points. The work is nearly in
+proportion to a text's length, however long its candidates are or many its matches.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gustline.llm.common import fresh
+from gustline.llm.common import bind, fresh, running
 
 #: The base patterns. The last number is the least length of the group.
 ASSIGN = (
@@ -47,11 +48,15 @@ CLASSES = (
     CharClass("entropy_letters", r"(?<![A-Za-z0-9])[A-Za-z]{20,}(?![A-Za-z0-9])", 20, 3.7, (r"[a-z]", r"[A-Z]")),
     CharClass("entropy_one_case_letters", r"(?<![A-Za-z0-9])(?:[a-z]{20,}|[A-Z]{20,})(?![A-Za-z0-9])", 20, 3.6, ()),
 )
+#: Code points of the pieces that a text is cut into for masking.
+CHUNK = 4096
+#: A window's counts: BITS for each character, PLACES of them in one number.
+BITS, PLACES = 5, 12
 #: Candidates that are no secrets as a whole: identifiers, image data, names with a number.
 ALLOW = (
     r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",
     r"^(iVBORw0KGgo|R0lGOD|/9j/)",
-    r"^[A-Za-z]+([-_/][A-Za-z]+)*[-_/]?[0-9]{1,4}$",
+    r"^[A-Za-z]+(?:[-_/][A-Za-z]+)*+[-_/]?[0-9]{1,4}$",
 )
 #: Placeholders and counting strings: a window that holds one is no evidence of a secret.
 HARMLESS = (
@@ -68,21 +73,18 @@ def _matches(text: Column, pattern: str, group: int = 0) -> Column:
         F.regexp_extract_all(text, lit, F.lit(group)).alias("part"),
         F.split(text, pattern, -1).alias("gap"),
     )
-    begin = F.struct(
-        F.lit(0).alias("at"),
-        F.array().cast("array<struct<start:int,end:int,size:int,match:string>>").alias("out"),
-    )
+    kept = F.filter(found, lambda x: x["match"].isNotNull())
+    placed = running(kept, lambda x: F.length(x["gap"]) + F.length(x["match"]), lambda a, b: a + b)
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["gap"])
-        end = start + F.length(x["match"])
-        span = F.struct(
-            start.alias("start"), end.alias("end"), F.length(x["part"]).alias("size"), x["match"].alias("match")
+    def span(x: Column) -> Column:
+        start, item = x["before"] + F.length(x["item"]["gap"]), x["item"]
+        return F.struct(
+            start.alias("start"), (start + F.length(item["match"])).alias("end"),
+            F.length(item["part"]).alias("size"), item["match"].alias("match"),
         )
-        return F.struct(F.coalesce(end, state["at"]).alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
 
-    spans = F.aggregate(F.filter(found, lambda x: x["match"].isNotNull()), begin, step, lambda s: s["out"])
-    return F.when(text.rlike(pattern), spans).otherwise(begin["out"])
+    none = F.array().cast("array<struct<start:int,end:int,size:int,match:string>>")
+    return F.when(text.rlike(pattern), F.transform(placed, span)).otherwise(none)
 
 
 def _base(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
@@ -107,22 +109,32 @@ def window_entropy(candidate: Column, window: int, least: float, harmless: str =
 
     Counts move with the window: the entering character raises its count, the leaving one
     lowers its, and the sum of c * log2(c) follows by the two differences. A character is its
-    place in the list of the candidate's distinct characters.
+    place in the list of the candidate's distinct characters; the counts stand side by side in
+    a few whole numbers, BITS for each, so a step changes two digits and copies little. The list is
+    made once for a candidate, so the work is in proportion to its length.
     """
+    if window >= 1 << BITS:
+        raise ValueError(f"windows have fewer than {1 << BITS} characters")
     gain = F.array(*(F.lit(0.0 if c == 0 else (c + 1) * math.log2(c + 1) - c * math.log2(c)) for c in range(window)))
-    chars = F.filter(F.split(candidate, ""), lambda c: c != "")
-    marks = F.transform(chars, lambda c: F.array_position(F.array_distinct(chars), c).cast("int"))
-    start = F.struct(
-        F.array_repeat(F.lit(0), F.size(F.array_distinct(chars))).alias("counts"),
-        F.lit(0.0).alias("sum"), F.lit(-1.0).alias("best"), F.lit(-1).alias("first"), F.lit(-1).alias("last"),
-        F.lit(False).alias("clean"), F.lit(0).alias("next"), F.lit(-1).alias("held"),
-    )
+    power = F.array(*(F.lit(1 << (BITS * i)) for i in range(PLACES)))
+    shifts = F.array(*(F.lit(BITS * i) for i in range(PLACES)))
+
+    def count(counts: Column, mark: Column) -> Column:
+        digits = F.get(counts, F.floor(mark / PLACES).cast("int"))
+        return F.call_function("shiftright", digits, F.get(shifts, mark % PLACES)).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
+
+    def slide(marks: Column, known: Column, kinds: Column) -> Column:
+        start = F.struct(
+            F.array_repeat(F.lit(0).cast("long"), F.floor(kinds / PLACES).cast("int") + 1).alias("counts"),
+            F.lit(0.0).alias("sum"), F.lit(-1.0).alias("best"), F.lit(-1).alias("first"), F.lit(-1).alias("last"),
+            F.lit(False).alias("clean"), F.lit(0).alias("next"), F.lit(-1).alias("held"),
+        )
 
-    def slide(marks: Column, known: Column) -> Column:
         def step(s: Column, i: Column) -> Column:
-            comes, goes = F.element_at(marks, i + 1), F.when(i >= window, F.element_at(marks, i - window + 1)).otherwise(0)
-            less = F.when(goes > 0, F.get(gain, F.get(s["counts"], goes - 1) - 1)).otherwise(0.0)
-            now = F.get(s["counts"], comes - 1) - F.when(comes == goes, 1).otherwise(0)
+            comes = F.get(marks, i)
+            goes = F.when(i >= window, F.get(marks, i - window)).otherwise(-1)
+            less = F.when(goes >= 0, F.get(gain, count(s["counts"], goes) - 1)).otherwise(0.0)
+            now = count(s["counts"], comes) - F.when(comes == goes, 1).otherwise(0)
             total = s["sum"] - less + F.get(gain, now)
             bits = F.lit(math.log2(window)) - total / window
             full = i >= window - 1
@@ -130,10 +142,11 @@ def window_entropy(candidate: Column, window: int, least: float, harmless: str =
             ahead = F.get(known, s["next"])  # the harmless match that ends here or later
             passed = F.coalesce(ahead["end"] == i + 1, F.lit(False))
             held = F.when(passed, ahead["start"]).otherwise(s["held"])
-            counts = F.transform(
-                s["counts"],
-                lambda c, j: c + F.when(j == comes - 1, 1).otherwise(0) - F.when(j == goes - 1, 1).otherwise(0),
-            )
+
+            def one(mark: Column, j: Column) -> Column:
+                return F.when((mark >= 0) & (F.floor(mark / PLACES) == j), F.get(power, mark % PLACES)).otherwise(0)
+
+            counts = F.transform(s["counts"], lambda c, j: c + one(comes, j) - one(goes, j))
             return F.struct(
                 counts.alias("counts"), total.alias("sum"),
                 F.when(full & (bits > s["best"]), bits).otherwise(s["best"]).alias("best"),
@@ -148,11 +161,14 @@ def window_entropy(candidate: Column, window: int, least: float, harmless: str =
             lambda s: F.struct(*(s[n].alias(n) for n in ("best", "first", "last", "clean"))),
         )
 
-    # bind marks and matches once: lambda variables, not expressions that every step repeats
-    def bound(known: Column) -> Column:
-        return F.element_at(F.transform(F.array(marks), lambda m: slide(m, known)), 1)
+    # bind what every step reads: lambda variables, not expressions that it would repeat
+    def marked(chars: Column) -> Column:
+        return bind(F.array_distinct(chars), lambda kinds: bind(
+            F.transform(chars, lambda c: F.array_position(kinds, c).cast("int") - 1),
+            lambda marks: bind(_matches(candidate, harmless), lambda known: slide(marks, known, F.size(kinds))),
+        ))
 
-    return F.element_at(F.transform(F.array(_matches(candidate, harmless)), bound), 1)
+    return bind(F.filter(F.split(candidate, ""), lambda c: c != ""), marked)
 
 
 def _entropy(text: Column, spec: CharClass, order: int, allow: tuple[str, ...], harmless: str) -> Column:
@@ -221,17 +237,22 @@ def mask(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", **options)
     """
     base, spans = fresh("base", "spans")
     scanned = scan(docs, text, names=(base, spans), **options)
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    text_ = F.col(text)
 
-    def step(s: Column, x: Column) -> Column:
-        before = F.substring(F.col(text), s["at"] + 1, x["start"] - s["at"])
-        return F.struct(
-            F.greatest(s["at"], x["end"]).alias("at"),
-            F.when(x["start"] < s["at"], s["out"]).otherwise(F.concat(s["out"], before, F.lit(mark))).alias("out"),
-        )
+    def replaced(chunks: Column) -> Column:
+        def cut(start: Column, end: Column) -> Column:
+            first, last = F.floor(start / CHUNK).cast("int"), F.floor(F.greatest(end - 1, start) / CHUNK).cast("int")
+            near = F.array_join(F.slice(chunks, first + 1, last - first + 1), "")
+            return F.substring(near, start - first * CHUNK + 1, end - start)
 
-    masked = F.aggregate(
-        F.col(spans), begin, step,
-        lambda s: F.concat(s["out"], F.substring(F.col(text), s["at"] + 1, F.length(F.col(text)))),
-    )
-    return scanned.withColumn(text, F.when(F.size(spans) > 0, masked).otherwise(F.col(text))).drop(base, spans)
+        def pieces(placed: Column) -> Column:
+            marks = F.transform(placed, lambda x: F.when(x["item"]["start"] < x["before"], F.lit("")).otherwise(
+                F.concat(cut(x["before"], x["item"]["start"]), F.lit(mark))
+            ))
+            return F.concat(F.array_join(marks, ""), cut(F.array_max(F.transform(F.col(spans), lambda x: x["end"])), F.length(text_)))
+
+        # before a span: the largest end of those that come earlier
+        return bind(running(F.col(spans), lambda x: x["end"], lambda a, b: F.greatest(a, b)), pieces)
+
+    masked = bind(F.regexp_extract_all(text_, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)), replaced)
+    return scanned.withColumn(text, F.when(F.size(spans) > 0, masked).otherwise(text_)).drop(base, spans)
