@@ -64,7 +64,7 @@ def permuted(index: Column, n: Column, *key: Column, rounds: int = ROUNDS, seed:
     """
 
     def step(x: Column, r: Column) -> Column:
-        other = F.pmod(F.xxhash64(F.lit(seed), r, *key) - x, n)  # one partner for each number
+        other = F.pmod(F.pmod(F.xxhash64(F.lit(seed), r, *key), n) - x, n)  # one partner for each number
         swap = F.xxhash64(F.lit(seed + 1), r, F.greatest(x, other), *key) % 2 == 0
         return F.when(swap, other).otherwise(x)
 
