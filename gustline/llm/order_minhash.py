@@ -97,7 +97,9 @@ def fingerprint(text: Column, k: int = K) -> Column:
     """array<bigint>: bin number times 2^32 plus the 32-bit hash of the bin's tuple, for every
     bin that has k-mers, by bin. Texts without words (NULL, empty, blank) have no bins; those
     of fewer than ``k`` words have one k-mer, which is hashed alone; every sketch of a text
-    with two k-mers or more holds two in their order. Equal texts have equal fingerprints."""
+    with two k-mers or more holds two in their order. Equal texts have equal fingerprints.
+    Long texts are read whole; one of more than 2^26 words raises an error, as their places would
+    not fit beside the hashes."""
 
     def sketch(n: Column) -> Column:
         # bins stand together, their smallest first
@@ -116,8 +118,12 @@ def fingerprint(text: Column, k: int = K) -> Column:
 
         return F.sort_array(F.filter(F.transform(s, value), lambda x: x.isNotNull()))
 
-    words = _words(F.coalesce(text, F.lit("")))
-    return _bind(_bind(_numbered(_kmers(words, k)), sketch), tuples)
+    def sketches(words: Column) -> Column:
+        many = F.raise_error(F.concat(F.lit("a text has too many words: "), F.size(words).cast("string")))
+        found = _bind(_bind(_numbered(_kmers(words, k)), sketch), tuples)
+        return F.when(F.size(words) > _PLACE, many.cast("array<bigint>")).otherwise(found)
+
+    return _bind(_words(F.coalesce(text, F.lit(""))), sketches)
 
 
 def text_of(sketches: Column) -> Column:
