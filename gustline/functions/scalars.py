@@ -18,29 +18,24 @@ DAMAGE_SUFFIXES = {"K": 1e3, "M": 1e6, "B": 1e9}
 WHITESPACE = " \t\n\r\x0b\x0c"
 
 
-# --- fixed values: the only words that are numbers
-NUMBER_WORD = r"^[+-]?(?i:inf|infinity|nan)$"
+# --- fixed values: the only words that are numbers, and the letters they end with
+ODD_NUMBER = r"^(?:[^xX]*[0-9.]|[+-]?(?i:inf|infinity|nan))$"
+NUMBER_WORD_ENDS = "fFyYnN"
 EVENT_TIME = r"^(\d{1,2})-([A-Za-z]{3})-(\d{1,2}) +(\d{1,2}):(\d{1,2}):(\d{1,2})$"
 
 
-def stripped(text: Column) -> Column:
-    """Without white space at either end; cells that have none there aren't searched."""
-    edge = F.left(text, F.lit(1)).isin(*WHITESPACE) | F.right(text, F.lit(1)).isin(*WHITESPACE)
-    return F.when(edge, F.btrim(text, F.lit(WHITESPACE))).otherwise(text)
-
-
 def strict_double(text: Column) -> Column:
     """Text to double, NULL when it is not a number.
 
     The JVM parser throws on dirty cells, which costs far more than looking at the last
-    character first. It also takes "1d", "1f" and hexadecimal floats; those are not
-    numbers in a data file.
+    character first; it passes over white space at both ends itself, so a cell is only stripped
+    if it ends with some, or like a word that is a number. The parser also takes "1d", "1f"
+    and hexadecimal floats; those are not numbers in a data file.
     """
-    trimmed = stripped(text)
-    plain = F.right(trimmed, F.lit(1)).isin(*"0123456789.")
-    plain = plain & ~trimmed.contains("x") & ~trimmed.contains("X")
-    word = (F.length(trimmed) >= 3) & trimmed.rlike(NUMBER_WORD)
-    return F.when(plain | word, trimmed.try_cast("double"))
+    last = F.right(text, F.lit(1))
+    plain = last.isin(*"0123456789.") & ~text.contains("x") & ~text.contains("X")
+    odd = last.isin(*WHITESPACE, *NUMBER_WORD_ENDS) & F.btrim(text, F.lit(WHITESPACE)).rlike(ODD_NUMBER)
+    return F.when(plain | odd, text.try_cast("double"))
 
 
 def negative_number(text: Column) -> Column:

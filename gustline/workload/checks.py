@@ -233,6 +233,13 @@ def bronze_lineage() -> str:
               "count(*) AS row_ids, count(*) AS with_file FROM raw")
 
 
+@check
+def dev_limit() -> str:
+    good = "least(1000, count(*) FILTER (WHERE c_acctbal >= 0))"
+    return (f'SELECT {good} AS "rows", {good} AS row_ids, '
+            "count(*) FILTER (WHERE c_acctbal < 0) AS rejected_lines FROM customer")
+
+
 @check
 def quoted_lines() -> str:
     return ("SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, md5(coalesce(text, '')) AS text_md5, "
@@ -259,6 +266,26 @@ def snake_columns() -> str:
               "count(*) FILTER (WHERE \"SPP.1\" = '1') AS spp_1_yes FROM raw GROUP BY 1, 2")
 
 
+# --- fixed values: the columns of lineitem, in file order
+LINEITEM = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+    "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+)
+
+
+@check
+def table_fingerprint() -> str:
+    cells = [f"CAST({c} AS VARCHAR)" for c in LINEITEM]
+    row = " || ".join(f"coalesce(length({x}) || ':' || {x}, '-')" for x in cells)
+
+    def total(first: int) -> str:
+        digits = f"list_transform(string_split(substr(digest, {first}, 15), ''), lambda c: CAST(strpos('0123456789abcdef', c) - 1 AS HUGEINT))"
+        return f"CAST(sum(list_reduce({digits}, lambda a, b: a * 16 + b)) AS VARCHAR)"
+
+    return (f"SELECT count(*) AS \"rows\", {total(1)} || '-' || {total(16)} AS fingerprint "
+            f"FROM (SELECT md5({row}) AS digest FROM lineitem)")
+
+
 # --- typing and cleaning ------------------------------------------------------------------------
 
 
@@ -303,6 +330,14 @@ def parse_event_time() -> str:
 DAMAGE_TEXTS = f"texts AS (SELECT l_orderkey, l_linenumber, {feed.DAMAGE_TEXT} AS t FROM lineitem)"
 
 
+@check
+def loose_event_time() -> str:
+    """The time each text was made from; nothing is parsed."""
+    hour, minute, second = (f"CAST({part} AS BIGINT)" for part in feed.CLOCK)
+    made = f"make_timestamp(year(o_orderdate), month(o_orderdate), day(o_orderdate), {hour}, {minute}, CAST({second} AS DOUBLE))"
+    return f"SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 2 THEN {made} END AS event_ts FROM orders"
+
+
 @check
 def parse_damage() -> str:
     bare = "upper(replace(replace(trim(t), '$', ''), ',', ''))"
@@ -430,6 +465,11 @@ def table_parity() -> str:
     )
 
 
+@check
+def table_parity_tree() -> str:
+    return SQL["table_parity"]
+
+
 @check
 def exact_difference() -> str:
     columns = "l_suppkey, l_linenumber, l_returnflag, l_linestatus"
@@ -600,6 +640,85 @@ def region_radar() -> str:
               f"SELECT region, {', '.join(_scaled('m_' + n, n) for n in dims)} FROM means")
 
 
+def _top(column: str, k: int) -> str:
+    return f"(SELECT {column} FROM gold GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT {k})"
+
+
+@check
+def tier_by_state() -> str:
+    return on(GOLD, f"SELECT {STATE} AS ownership, risk_category AS tier, count(*) AS utilities FROM gold "
+              f"WHERE {STATE} IN {_top(STATE, 6)} GROUP BY 1, 2")
+
+
+@check
+def state_heat() -> str:
+    columns = ("avg_saidi", "pct_high", "avg_storms", "avg_loss_musd")
+    return on(
+        f"{GOLD}, means AS (SELECT {STATE} AS region, avg({SAIDI}) AS avg_saidi, "
+        "sum(high_risk) / CAST(count(*) AS DOUBLE) AS pct_high, "
+        f"sum({K.EVENT_COUNT}) / CAST(count(*) AS DOUBLE) AS avg_storms, "
+        f"avg({K.LOSS}) / CAST(1000000 AS DOUBLE) AS avg_loss_musd FROM gold WHERE {STATE} IN {_top(STATE, 10)} GROUP BY 1)",
+        f"SELECT *, {', '.join(_scaled(c, c + '_scaled') for c in columns)} FROM means",
+    )
+
+
+@check
+def state_radar() -> str:
+    dims = {"saidi": SAIDI, "high_risk": "high_risk", "storm_events": K.EVENT_COUNT,
+            "damage": K.TOTAL_DAMAGE, "human_impact": K.HUMAN_IMPACT}
+    means = ", ".join(f"avg({c}) AS m_{n}" for n, c in dims.items())
+    return on(f"{GOLD}, means AS (SELECT {STATE} AS region, {means} FROM gold WHERE {STATE} IN {_top(STATE, 7)} GROUP BY 1)",
+              f"SELECT region, {', '.join(_scaled('m_' + n, n) for n in dims)} FROM means")
+
+
+@check
+def report_panels() -> str:
+    """Every additive table of the report, from the chosen utilities by plain grouping."""
+    double, none = "CAST({} AS DOUBLE)", "CAST(NULL AS VARCHAR)"
+    high = "count(*) FILTER (WHERE risk_category = 'High Risk')"
+
+    def long(panel: str, name: str, part: str, values: dict[str, str], source: str, group: str = "") -> list[str]:
+        return [
+            f"SELECT '{panel}' AS panel, {name} AS name, {part} AS part, '{metric}' AS metric, "
+            f"{double.format(value)} AS value FROM {source} {group}" for metric, value in values.items()
+        ]
+
+    kpi = {
+        "utilities": "count(*)", "high_risk": high, "states": f"count(DISTINCT {STATE})", "avg_saidi": f"avg({SAIDI})",
+        "annual_loss_usd": f"sum({K.LOSS})", "sla_breaches": f"sum({K.BREACH})", "storm_events": f"sum({K.EVENT_COUNT})",
+        "high_risk_pct": f"CAST(100 AS DOUBLE) * {high} / greatest(count(*), 1)",
+        "saidi_delta": f"avg({SAIDI}) - (SELECT avg({SAIDI}) FROM gold)",
+    }
+    ahead = f"FROM chosen WHERE risk_category = 'High Risk' GROUP BY {STATE} ORDER BY count(*) DESC, {STATE} LIMIT 1"
+    worst = f"(SELECT {REGION} FROM chosen GROUP BY {REGION} ORDER BY avg({SAIDI}) DESC, {REGION} LIMIT 1)"
+    means = {
+        "avg_saidi": f"avg({SAIDI})", "pct_high": "sum(high_risk) / CAST(count(*) AS DOUBLE)",
+        "avg_storms": f"sum({K.EVENT_COUNT}) / CAST(count(*) AS DOUBLE)", "avg_loss_musd": f"avg({K.LOSS}) / CAST(1000000 AS DOUBLE)",
+        "avg_saidi_scaled": f"(avg({SAIDI}) - min(avg({SAIDI})) OVER ()) / (max(avg({SAIDI})) OVER () - min(avg({SAIDI})) OVER () + CAST(1e-9 AS DOUBLE))",
+    }
+    radar = {
+        n: f"(avg({c}) - min(avg({c})) OVER ()) / (max(avg({c})) OVER () - min(avg({c})) OVER () + CAST(1e-9 AS DOUBLE))"
+        for n, c in (("saidi", SAIDI), ("damage", K.TOTAL_DAMAGE), ("human_impact", K.HUMAN_IMPACT))
+    }
+    parts = [
+        *long("kpi", none, none, kpi, "chosen"),
+        *long("findings", f"(SELECT {STATE} {ahead})", worst, {
+            "top_state_high_risk": f"(SELECT count(*) {ahead})",
+            "loss_billion_usd": f"(SELECT sum({K.LOSS}) FROM chosen) / CAST(1000000000 AS DOUBLE)",
+        }, "(SELECT 1)"),
+        *long("state_metric", STATE, none, {"value": f"avg({SAIDI})"}, "chosen", f"GROUP BY {STATE}"),
+        *long("tier_mix", "risk_category", none, {
+            "utilities": "count(*)", "pct": "count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM chosen) * CAST(100 AS DOUBLE)",
+        }, "chosen", "GROUP BY risk_category"),
+        *long("tier_by_ownership", OWNERSHIP, "risk_category", {"utilities": "count(*)"}, "chosen", f"GROUP BY {OWNERSHIP}, risk_category"),
+        *long("region_heat", REGION, none, means, "chosen", f"GROUP BY {REGION}"),
+        *long("region_radar", REGION, none, radar, "chosen", f"GROUP BY {REGION}"),
+    ]
+    top = f"SELECT {STATE} AS s, {high} AS n FROM chosen GROUP BY 1 HAVING {high} > 0 ORDER BY 2 DESC, 1 LIMIT 20"
+    parts.append(f"SELECT 'top_states', s, {none}, 'high_risk', CAST(n AS DOUBLE) FROM ({top})")
+    return on(f"{GOLD}, chosen AS (SELECT * FROM gold WHERE Ownership = 'BUILDING')", " UNION ALL ".join(parts))
+
+
 @check
 def bubble_points() -> str:
     return on(

@@ -92,6 +92,22 @@ DAMAGE_TEXT = (
 )
 
 
+# one of four ways to write an order's date, with a time made from its key
+CLOCK = ("o_orderkey % 24", "o_orderkey % 60", "(o_orderkey + day(o_orderdate)) % 60")
+_LOOSE_DATE = (
+    "CAST(day(o_orderdate) AS STRING) || '-' || "
+    f"substr('{MONTHS_BY_THREE}', (month(o_orderdate) - 1) * 3 + 1, 3) || '-' || "
+    "lpad(CAST(year(o_orderdate) % 100 AS STRING), 2, '0')"
+)
+_LOOSE_CLOCK = " || ':' || ".join(f"CAST({part} AS STRING)" for part in CLOCK)
+LOOSE_TIME = (
+    f"CASE o_orderkey % 4 WHEN 0 THEN ' ' || {_LOOSE_DATE} || ' ' || {_LOOSE_CLOCK} "
+    f"WHEN 1 THEN {_LOOSE_DATE} || '   ' || {_LOOSE_CLOCK} || '  ' "
+    f"WHEN 2 THEN lower({_LOOSE_DATE}) || ' noon' "
+    f"ELSE lpad({_LOOSE_DATE}, 9, '0') || ' ' || {_LOOSE_CLOCK} END"
+)
+
+
 def tables(spark: SparkSession, sf_dir: str):
     return lambda name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -147,6 +147,19 @@ def bronze_lineage(spark, sf_dir):
     )
 
 
+@query
+def dev_limit(spark, sf_dir):
+    """A thousand good lines landed of a ragged file, with all of its bad lines counted and kept."""
+    data, path = staged_path(spark, "layers"), staged_path(spark, "ragged-csv")
+    _ragged_customers(spark, sf_dir).write.option("header", True).option("sep", "\u0001").csv(path)
+    L.land_bronze(spark, path, data, "b1", "2024-01-01 00:00:00", limit=1000)
+    landed = L.read_batch(spark, data, L.BRONZE, L.EVENTS, "b1")
+    kept = L.read_batch(spark, data, L.BRONZE, L.REJECTED_LINES, "b1")
+    return landed.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(K.ROW_ID).alias("row_ids")).withColumn(
+        "rejected_lines", kept.agg(F.count("line")).scalar()
+    )
+
+
 @query
 def quoted_lines(spark, sf_dir):
     """All documents, with their line breaks and quotes, through a CSV file."""
@@ -157,19 +170,23 @@ def quoted_lines(spark, sf_dir):
     )
 
 
-@query
-def malformed_lines(spark, sf_dir):
-    """Customer list with one field too many on some lines: good and rejected lines."""
+def _ragged_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer lines, with one field too many on some; the column's name is the header line."""
     customer = feed.tables(spark, sf_dir)("customer")
-    text = customer.select(
+    return customer.select(
         F.expr(
             "c_custkey || ',' || c_name || ',' || c_mktsegment || "
             "CASE WHEN c_acctbal < 0 THEN ',x' ELSE '' END"
         ).alias("key,name,segment")
     )
-    # One text column whose name is the header line; the separator never occurs.
+
+
+@query
+def malformed_lines(spark, sf_dir):
+    """Customer list with one field too many on some lines: good and rejected lines."""
+    # One text column; the separator never occurs.
     path = _scratch(spark, "ragged-csv")
-    text.write.mode("overwrite").option("header", True).option("sep", "\u0001").csv(path)
+    _ragged_customers(spark, sf_dir).write.mode("overwrite").option("header", True).option("sep", "\u0001").csv(path)
     lines = read_text_columns(spark, path)
     return lines.agg(
         F.count(F.when(F.col("_corrupt").isNull(), F.col("key"))).alias("good_lines"),
@@ -274,6 +291,13 @@ def parse_event_time(spark, sf_dir):
     return _row_values(spark, sf_dir, event_ts=S.event_time(F.col(K.EVENT_TIME_TEXT)))
 
 
+@query
+def loose_event_time(spark, sf_dir):
+    """Times written with blanks around them, one-digit parts and several blanks, one for each order."""
+    orders = feed.tables(spark, sf_dir)("orders")
+    return orders.select("o_orderkey", S.event_time(F.expr(feed.LOOSE_TIME)).alias("event_ts"))
+
+
 @query
 def parse_damage(spark, sf_dir):
     return feed.damage_texts(spark, sf_dir).select(
@@ -365,17 +389,25 @@ def quality_rate(spark, sf_dir):
     return Q.quality_rate(typed(spark, sf_dir))
 
 
-@query
-def table_parity(spark, sf_dir):
-    """Orders against a version with repriced urgent orders and without the open ones."""
+def _repriced(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders, and a version with repriced urgent orders and without the open ones."""
     orders = feed.tables(spark, sf_dir)("orders")
     urgent = F.col("o_orderpriority") == "1-URGENT"
     changed = orders.filter(F.col("o_orderstatus") != "P").withColumn(
         "o_totalprice", F.when(urgent, F.col("o_totalprice") + 1.0).otherwise(F.col("o_totalprice"))
     )
-    return Q.table_parity(
-        orders, changed, ["o_orderkey"], ["o_custkey", "o_totalprice", "o_orderdate"], 1e-9
-    )
+    return orders, changed
+
+
+@query
+def table_parity(spark, sf_dir):
+    return Q.table_parity(*_repriced(spark, sf_dir), ["o_orderkey"], ["o_custkey", "o_totalprice", "o_orderdate"], 1e-9)
+
+
+@query
+def table_parity_tree(spark, sf_dir):
+    """The same tables compared by a tree of hashes: only buckets that differ are joined."""
+    return Q.parity_by_tree(*_repriced(spark, sf_dir), ["o_orderkey"], ["o_custkey", "o_totalprice", "o_orderdate"], 1e-9)
 
 
 @query
@@ -470,6 +502,46 @@ def tier_by_ownership(spark, sf_dir):
     return R.tier_by_ownership(gold(spark, sf_dir), 3)
 
 
+@query
+def tier_by_state(spark, sf_dir):
+    """Tiers of the commonest states: a column with more values than the default number shown."""
+    table = gold(spark, sf_dir).withColumn(K.OWNERSHIP, F.col(K.STATE))
+    return R.tier_by_ownership(table)
+
+
+@query
+def state_heat(spark, sf_dir):
+    return R.region_heat(gold(spark, sf_dir).withColumn(K.REGION, F.col(K.STATE)))
+
+
+@query
+def state_radar(spark, sf_dir):
+    return R.region_radar(gold(spark, sf_dir).withColumn(K.REGION, F.col(K.STATE)))
+
+
+@query
+def report_panels(spark, sf_dir):
+    """The whole report's additive tables, in long form, from its one cube."""
+    tables = report_tables(gold(spark, sf_dir), ownership="BUILDING")
+
+    def long(panel: str, name: str | None, *metrics: str, part: str | None = None) -> DataFrame:
+        rows = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]
+        text = [F.lit(None).cast("string") if c is None else F.col(c) for c in (name, part)]
+        return tables[panel].select(F.lit(panel).alias("panel"), text[0].alias("name"), text[1].alias("part"), F.inline(F.array(*rows)))
+
+    parts = [
+        long("kpi", None, "utilities", "high_risk", "states", "avg_saidi", "annual_loss_usd", "sla_breaches", "storm_events", "high_risk_pct", "saidi_delta"),
+        long("findings", "top_state", "top_state_high_risk", "loss_billion_usd", part="worst_region"),
+        long("state_metric", "state", "value"),
+        long("tier_mix", "tier", "utilities", "pct"),
+        long("tier_by_ownership", "ownership", "utilities", part="tier"),
+        long("region_heat", "region", "avg_saidi", "pct_high", "avg_storms", "avg_loss_musd", "avg_saidi_scaled"),
+        long("region_radar", "region", "saidi", "damage", "human_impact"),
+        long("top_states", "state", "high_risk"),
+    ]
+    return reduce(DataFrame.union, parts)
+
+
 @query
 def report_refresh(spark, sf_dir):
     """Rows of every table of the whole report."""

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gustline import contract as K
-from gustline.operators import joins as J, learning as M, reports as R, scoring
+from gustline.operators import joins as J, learning as M, quality as Q, reports as R, scoring
 from gustline.plans.report import report_tables
 from gustline.plans.training import load_model, train_and_store
 from gustline.workload import queries as W
@@ -147,3 +147,56 @@ def test_training_queries_do_the_whole_job(spark, monkeypatch):
     rows = queries.gold(spark, where).count()
     scored = queries.QUERIES["batch_score"](spark, where).count()
     assert 0 < scored <= 0.25 * rows
+
+
+def test_tables_of_the_cube_are_those_of_the_selection(gold):
+    cube = R.Cube(gold)
+    for table, more in (
+        (R.tier_mix, ()), (R.tier_by_ownership, (2,)), (R.region_heat, (3,)), (R.region_radar, (3,)), (R.top_states, (5,)),
+        (R.top_findings, ()), (R.state_metric, ("damage",)), (lambda t: R.kpi_row(t, gold), ()),
+    ):
+        one, other = (sorted(map(str, table(t, *more).collect())) for t in (cube, gold))
+        assert one == other and one
+
+
+def test_a_report_of_nothing(gold):
+    tables = report_tables(gold.filter(F.lit(False)))
+    assert {n: t.count() for n, t in tables.items() if t.count()} == {"kpi": 1, "findings": 1}
+    row = tables["kpi"].first()
+    assert (row["utilities"], row["high_risk"], row["states"], row["avg_saidi"]) == (0, 0, 0, None)
+
+
+def test_parity_by_tree_equals_the_plain_join(spark, monkeypatch):
+    left = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") / 7).alias("x"), F.when(F.col("id") % 5 > 0, F.col("id").cast("string")).alias("s"))
+    wrong = F.col("k").isin(17, 18, 2500)
+    right = left.filter("k <> 40").withColumn("x", F.when(wrong, F.col("x") + 1).otherwise(F.col("x") + 1e-12))
+    right = right.withColumn("s", F.when(F.col("k") == 20, "new").otherwise(F.col("s"))).union(spark.createDataFrame([(9999, 1.0, "y")], "k long, x double, s string"))
+    plain = sorted(map(tuple, Q.table_parity(left, right, ["k"], ["x", "s"], 1e-9).collect()))
+    assert sorted(map(tuple, Q.parity_by_tree(left, right, ["k"], ["x", "s"], 1e-9).collect())) == plain
+    assert plain == [("(left only)", 1), ("(right only)", 1), ("s", 1), ("x", 3)]
+    joined = []
+    monkeypatch.setattr(Q, "table_parity", lambda a, b, *more: joined.append((a.count(), b.count())) or a)
+    Q.parity_by_tree(left, left.repartition(3), ["k"], ["x", "s"])
+    Q.parity_by_tree(left, left.withColumn("x", F.when(F.col("k") == 5, 0.0).otherwise(F.col("x"))), ["k"], ["x", "s"])
+    assert joined[0] == (0, 0) and joined[1] == (1, 1)
+
+
+def test_jobs_run_together_and_stop_together(spark):
+    slow = spark.range(8).repartition(8)
+    done = M.run_together(spark, [lambda i=i: slow.where(F.col("id") > i).count() for i in range(6)], 3)
+    assert done == [7, 6, 5, 4, 3, 2]
+
+    def fails():
+        raise ValueError("no")
+
+    with pytest.raises(ValueError, match="no"):
+        M.run_together(spark, [fails, lambda: slow.count()], 2)
+    assert slow.count() == 8
+
+
+def test_a_grid_side_by_side_equals_one_after_another(gold):
+    specs = {k: v for k, v in M.model_specs(lr_iterations=15, tree_depth=3, forest_trees=4, boost_iterations=2, boost_depth=2).items()}
+    wide = {M.WIDE: M.feature_sets(gold)[M.WIDE]}
+    results = [M.run_grid(gold, specs, (0.2,), wide, at_once=n) for n in (1, 5)]
+    one, other = ([tuple(r) for r in x.results.collect()] for x in results)
+    assert one == other and len(one) == 5 and results[0].best == results[1].best
