@@ -1,5 +1,5 @@
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from gustline import contract as K
 from gustline.operators import joins as J, learning as M, quality as Q, reports as R, scoring
@@ -194,9 +194,13 @@ def test_jobs_run_together_and_stop_together(spark):
     assert slow.count() == 8
 
 
-def test_a_grid_side_by_side_equals_one_after_another(gold):
+def test_a_grid_side_by_side_equals_one_after_another(spark, gold):
+    seen = Observation()  # a session that has observed anything can't be serialized with a model
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
     specs = {k: v for k, v in M.model_specs(lr_iterations=15, tree_depth=3, forest_trees=4, boost_iterations=2, boost_depth=2).items()}
     wide = {M.WIDE: M.feature_sets(gold)[M.WIDE]}
     results = [M.run_grid(gold, specs, (0.2,), wide, at_once=n) for n in (1, 5)]
     one, other = ([tuple(r) for r in x.results.collect()] for x in results)
     assert one == other and len(one) == 5 and results[0].best == results[1].best
+    assert all(row[-1] is None for row in one)
