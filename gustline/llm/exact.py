@@ -122,6 +122,19 @@ def _bit(bitmap: Column, place: Column) -> Column:
     return F.coalesce(F.getbit(byte, (7 - place % 8).cast("int")) == 1, F.lit(False))
 
 
+def _exchange(table: DataFrame, duplicates) -> tuple[DataFrame, DataFrame, T.StructType]:
+    """Suspects and the texts they were verified to share, both stored, and the table's schema."""
+    sent = table.where("message is not null").select("part", "owner", "message")
+    answers = sent.groupBy("owner").applyInPandas(duplicates, "part long, owner long, bitmap binary")
+    by_part = stage(
+        answers.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("owner", "bitmap"))).alias("bitmaps")), "bitmaps"
+    )
+    marked = table.where("leads").join(by_part.hint("merge"), "part").where(_bit(F.col("bitmaps")[F.col("owner")], F.col("place")))
+    verified = marked.groupBy("print", "body").agg(F.max("local_id").alias("keep_id"), F.sum("local_size").alias("size"))
+    verified = stage(verified.select("print", F.unhex(F.sha2("body", 256)).alias("digest"), "keep_id", "size"), "verified")
+    return verified, stage(marked.select("part", "class", "print", "digest", "local_id"), "suspects"), table.schema
+
+
 def exact_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = BITS,
     part_rows: int = PART_ROWS, part_bytes: int = PART_BYTES,
@@ -169,23 +182,16 @@ def exact_duplicates(
         out = group[["part", "owner"]].assign(bitmap=[np.packbits(m).tobytes() if m.any() else None for m in marks])
         return out[out["bitmap"].notna()]
 
-    table = spark.table(name)
-    sent = table.where("message is not null").select("part", "owner", "message")
-    answers = sent.groupBy("owner").applyInPandas(duplicates, "part long, owner long, bitmap binary")
-    by_part = stage(
-        answers.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("owner", "bitmap"))).alias("bitmaps")), "bitmaps"
-    )
-    marked = table.where("leads").join(by_part.hint("merge"), "part").where(_bit(F.col("bitmaps")[F.col("owner")], F.col("place")))
-    verified = marked.groupBy("print", "body").agg(F.max("local_id").alias("keep_id"), F.sum("local_size").alias("size"))
-    verified = stage(verified.select("print", F.unhex(F.sha2("body", 256)).alias("digest"), "keep_id", "size"), "verified")
-    suspects = stage(marked.select("part", "class", "print", "digest", "local_id"), "suspects")
-    spark.sql(f"DROP TABLE {name}")  # its files stay in the shared folder
+    try:
+        verified, suspects, schema = _exchange(spark.table(name), duplicates)
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # its files stay in the shared folder
 
     same = Window.partitionBy("print", "digest")
     holds = F.col("local_id").eqNullSafe(F.col("keep_id"))
     met = suspects.join(verified, ["print", "digest"]).withColumn("winner", F.min(F.when(holds, F.col("part"))).over(same))
     met = met.select("part", "class", "keep_id", "size", (F.col("winner") == F.col("part")).alias("wins"))
-    stored = spark.read.schema(table.schema).parquet(path).where("class is not null")
+    stored = spark.read.schema(schema).parquet(path).where("class is not null")
     all_rows = stored.select("part", "class", "doc_id", "digest", "local_id", "local_size", "leads")
     joined = all_rows.join(met.withColumn("met", F.lit(True)), ["part", "class"], "left")
     across = F.col("met").isNotNull()
