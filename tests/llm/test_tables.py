@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from gustline.llm import components, mixing, packing, simhash, topk, warc
 from gustline.llm.queries import QUERIES
-from gustline.session import staged_path
+from gustline.session import stage, staged_path
 
 
 def near_texts(n):
@@ -218,7 +218,7 @@ def test_top_k_by_brute_force(spark):
     vectors += [(0, [0.5] * 16), (20, None), (40, [float("nan")] * 16), (60, [None] * 16), (80, [float("inf")] * 16), (None, [1.0] * 16)]
     vectors += [(1000, [1.0, 2.0]), (1001, [2.0, 1.0]), (1020, []), (1040, [1e30] * 16), (1041, [1e30] * 16)]
     table = spark.createDataFrame([(*v, 1) for v in vectors], "vec_id long, embedding array<double>, block int")
-    found = topk.top_k(table, F.col("vec_id") % 20 == 0, k=7, query_block=4, candidate_block=16, lanes=3).collect()
+    found = topk.top_k(table, F.col("vec_id") % 20 == 0, k=7, query_block=4, candidate_block=16, query_group=8, lanes=3).collect()
     good = [
         (i, [int(np.floor(64 * x)) for x in v]) for i, v in vectors
         if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
@@ -242,6 +242,41 @@ def test_bounds_hold():
         assert (coarse @ fine.T + 1e-6 >= exact).all()
 
 
+def test_envelopes_bound_blocks():
+    rng = np.random.default_rng(6)
+    for width in (0, 1, 3, 16, 50):
+        for _ in range(20):
+            centre = rng.normal(0, 40, (2, width))
+            q, c = (topk._Block(np.arange(30), (m + rng.normal(0, 6, (30, width))).round()) for m in centre)
+            best = (q.vectors @ c.vectors.T).max()
+            boxes = q.envelope()[None]
+            assert topk._reachable(boxes, np.array([best]), c.envelope(), width)
+            bound = (np.abs(boxes).max(initial=0) + 1) * (np.abs(c.envelope()).max(initial=0) + 1) * (width + 1)
+            assert not topk._reachable(boxes, np.array([bound * 2]), c.envelope(), width)
+
+
+def test_blocks_that_cannot_matter_are_not_shipped(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(0, 1, (12, 32))
+    of = rng.integers(0, 12, 1200)
+    vectors = [(i, (centres[c] + rng.normal(0, 0.02, 32)).tolist()) for i, c in enumerate(of.tolist())]
+    vectors += [(i, centres[0].tolist()) for i in range(1200, 1800)]  # a third are copies of one vector
+    table = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").withColumn("row", F.col("vec_id"))
+    rows = table.select(F.col("vec_id").alias("id"), F.col("embedding").alias("x"), "row")
+    queries = stage(topk._packed_queries(rows.where("id % 2 = 0"), 8, 16, 64.0, 5), "queries")
+    candidates = stage(topk._packed_candidates(rows, 16, 64.0), "candidates")
+    pairs = topk.reachable_blocks(queries, candidates, 2)
+    groups = queries.select("group").distinct().count()
+    assert 0 < pairs.count() < 0.5 * groups * candidates.count()
+    found = topk.top_k(table, F.col("vec_id") % 5 == 0, k=5, query_block=16, candidate_block=16, query_group=30, lanes=2).collect()
+    x = np.floor(64 * np.array([v for _, v in vectors]))
+    expected = []
+    for i in range(0, len(x), 5):
+        scores = sorted((-int(s), j) for j, s in enumerate(x @ x[i]) if j != i)
+        expected += [(i, r, j, -s) for r, (s, j) in enumerate(scores[:5], 1)]
+    assert sorted(map(tuple, found)) == sorted(expected)
+
+
 def test_pipeline_stages(spark, tmp_path):
     rng = random.Random(6)
     vocabulary = {lang: ["".join(rng.choices(letters, k=rng.randint(2, 8))) for _ in range(300)] for lang, letters in (("en", "theandro"), ("fr", "leouixqu"))}
