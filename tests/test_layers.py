@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 from feed_rows import ACCEPTED, REPEATED, as_file, mixed_events, usual_events
 from gustline import contract as K
 from gustline.operators import clean as C, quality as Q
-from gustline.plans.layered import run_gated, run_layers
+from gustline.plans.layered import expected_counts, run_gated, run_layers
 from gustline.plans.tolerant import clean_file
-from gustline.sources import layers as L, publish as P
+from gustline.sources import commits, layers as L, publish as P
 from gustline.sources.delimited import (
     header_columns, malformed, probe_columns, read_text_columns, well_formed,
 )
@@ -99,6 +99,8 @@ def test_gated_run_publishes_and_reconciles(spark, tmp_path):
     assert manifest["quality_gate"]["quarantine_pct"] == 0.0
     batch = manifest["batch_id"]
     again = P.publish(spark, data, target, batch)
+    checks = P.reconcile_published(spark, again, {**expected_counts(manifest), "silver_quarantine": 0})
+    assert {r["table"] for r in checks.where("matches").collect()} >= {"bronze_outage_events", "silver_outage_events", "gold_utility_features"}
     silver = spark.read.parquet(again["tables"]["silver_outage_events"]["location"])
     assert silver.count() == 40
     entry = spark.read.parquet(f"{target}/manifest").first()
@@ -170,3 +172,73 @@ def test_parity_and_difference_find_changes(spark):
     twice = a.union(a.limit(1))
     assert Q.exact_difference(a, a).count() == 0
     assert Q.exact_difference(twice, a).first()["left_copies"] == 2
+
+
+def published_rows(spark, target):
+    names = ("bronze/outage_events", "silver/outage_events", "gold/utility_features", "gold/state_risk_summary")
+    return {n: commits.read_published(spark, target, n).groupBy("batch_id").count().collect() for n in names}
+
+
+def test_a_batch_is_published_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    data, target = str(tmp_path / "d"), str(tmp_path / "published")
+    raw = as_file(usual_events(30, **{K.KEY: [str(i) for i in range(30)]}), tmp_path / "a.csv")
+    run_layers(spark, raw, data, batch_id="007")
+    P.publish(spark, data, target, "007")
+    before = published_rows(spark, target)
+    assert all(rows == [("007", 30 if "gold/state" not in name else 1)] for name, rows in before.items())
+
+    more = as_file(usual_events(12, **{K.KEY: [str(i) for i in range(12)]}), tmp_path / "b.csv")
+    other = str(tmp_path / "other")
+    run_layers(spark, more, other, batch_id="007")
+    write, seen = commits.write_batch, []
+
+    def failing(df, location, batch_id):
+        seen.append(location)
+        if len(seen) == 4:
+            raise OSError("disk gone")
+        write(df, location, batch_id)
+
+    with monkeypatch.context() as patch, pytest.raises(OSError, match="disk gone"):
+        patch.setattr(commits, "write_batch", failing)
+        P.publish(spark, other, target, "007")
+    with pytest.raises(K.ContractError, match="silver_outage_events"):
+        P.publish(spark, other, target, "007", {"silver_outage_events": 13})
+    assert published_rows(spark, target) == before
+    assert spark.read.parquet(f"{target}/silver/outage_events").count() == 30
+
+    # after the commit the new tables count, wherever the move is cut off
+    after = {name: [("007", 12 if "gold/state" not in name else 1)] for name in before}
+    for steps in (1, 4, 7):
+        P.publish(spark, data, target, "007")
+        done = []
+        with monkeypatch.context() as patch, pytest.raises(OSError, match="cut off"):
+            for action in ("remove", "rename"):
+                def cut(self, *names, _do=getattr(commits.Folder, action)):
+                    if any(n.startswith("_commits") for n in names):  # the commit itself
+                        return _do(self, *names)
+                    if len(done) == steps:
+                        raise OSError("cut off")
+                    done.append(names)
+                    return _do(self, *names)
+                patch.setattr(commits.Folder, action, cut)
+            P.publish(spark, other, target, "007")
+        assert published_rows(spark, target) == after
+        assert commits.recover(spark, target) == ["007"] and commits.recover(spark, target) == []
+        assert published_rows(spark, target) == after
+        assert spark.read.parquet(f"{target}/gold/utility_features").count() == 12
+        assert not (tmp_path / "published" / "_pending" / "007").exists()
+
+
+def test_a_table_that_lost_its_rows(spark, tmp_path):
+    target = str(tmp_path / "t")
+    rows = spark.range(5)
+    for filled in (5, 0, 3):
+        attempt = commits.Attempt(spark, target, "a:b")
+        attempt.write(rows.limit(filled), "silver/quarantine")
+        assert attempt.rows("silver/quarantine") == filled
+        attempt.commit()
+        if filled:
+            assert commits.read_published(spark, target, "silver/quarantine").groupBy("batch_id").count().collect() == [("a:b", filled)]
+        else:
+            with pytest.raises(FileNotFoundError):
+                commits.read_published(spark, target, "silver/quarantine")
