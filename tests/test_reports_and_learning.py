@@ -85,6 +85,15 @@ def test_one_hot_ignores_unseen_values(spark):
     assert vectors[0][0] == vectors[1][0]  # filled with the median, 2.0
 
 
+def test_wide_dictionaries_are_refused(spark):
+    train = spark.range(3000).select(F.col("id").cast("string").alias("a b"), F.lit("x").alias("c"))
+    M.check_categories(train, ["a b", "c"])
+    M.check_categories(train, [])
+    M.check_categories(train.limit(0), ["c"])
+    with pytest.raises(K.ContractError, match="a b"):
+        M.check_categories(train, ["a b", "c"], limit=2000)
+
+
 def test_balanced_logistic_regression_matches_direct_solution(spark):
     """The penalty mapping: minimise the weighted summed log loss plus half the squared norm."""
     import numpy as np
