@@ -59,3 +59,17 @@ def test_months_are_counted_without_a_group_each(spark, tmp_path):
     assert utility_rollup(silver.drop(K.MONTH)).first()[K.EVENT_COUNT] == 10
     keys = [line for line in plan(got).splitlines() if line.startswith("Keys") and K.NAME in line and K.EVENT_TIME_TEXT not in line]
     assert keys and not any(K.MONTH in line for line in keys)
+
+
+def test_the_fingerprint_adds_up_in_longs(spark):
+    import hashlib
+
+    rows = [(None, "a"), ("", "é:1"), ("x", None), ("x", None), *((str(i), "y" * (i % 5)) for i in range(300))]
+    df = spark.createDataFrame(rows, "a string, b string")
+    shown = ["".join("-" if c is None else f"{len(c)}:{c}" for c in r) for r in rows]
+    digests = [hashlib.md5(s.encode()).hexdigest() for s in shown]
+    wanted = "-".join(str(sum(int(d[15 * i:15 * i + 15], 16) for d in digests)) for i in (0, 1))
+    got = Q.table_fingerprint(df)
+    assert tuple(got.first()) == (len(rows), wanted) and Q.table_fingerprint(df.limit(0)).first()[1] == "0-0"
+    sums = [line for line in plan(got).splitlines() if "sum(" in line and "decimal" in line.split("sum(")[1].split(")")[0]]
+    assert not sums  # decimals only in the end
