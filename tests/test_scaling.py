@@ -73,3 +73,14 @@ def test_the_fingerprint_adds_up_in_longs(spark):
     assert tuple(got.first()) == (len(rows), wanted) and Q.table_fingerprint(df.limit(0)).first()[1] == "0-0"
     sums = [line for line in plan(got).splitlines() if "sum(" in line and "decimal" in line.split("sum(")[1].split(")")[0]]
     assert not sums  # decimals only in the end
+
+
+def test_stored_tables_are_cut_into_small_row_groups(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from gustline.sources import layers
+
+    rows = spark.range(500_000, numPartitions=1).select(F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    path = layers.write_table(rows, str(tmp_path / "t"))
+    groups = [pq.ParquetFile(f).metadata for f in (tmp_path / "t").glob("*.parquet")]
+    assert path and sum(m.num_rows for m in groups) == 500_000 and sum(m.num_row_groups for m in groups) >= 3
