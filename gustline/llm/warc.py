@@ -30,6 +30,8 @@ HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Le
 DATE = "2020-01-01T00:00:00Z"
 MIN_BYTES = 0
 LEVEL = 3
+#: Payload that an archive holds at least on average, unless there are fewer of them than cores.
+ARCHIVE_BYTES = 16 << 20
 
 FIELDS = (
     "record_type string, record_id string, target_uri string, refers_to string, declared_digest string,"
@@ -233,13 +235,16 @@ def write_archive(
     url leaves its header out. An empty table writes no record. Other columns are not read.
 
     Payloads meet by digest and length only; the texts are shuffled once, by id, so a payload
-    that a third of the pages share stays spread.
+    that a third of the pages share stays spread. There is an archive for each task, but small
+    tables make no more of them than cores or than ARCHIVE_BYTES asks for: every file costs its
+    writer and reader a fixed amount, on local disks a process of its own for its permissions.
     """
     p, u, body, sha = fresh("page", "url", "body", "sha")
     rows = pages.select(
         F.col(page_id).alias(p), F.col(url).alias(u), F.coalesce(F.col(html).cast("binary"), F.lit(b"")).alias(body)
     ).withColumn(sha, F.sha1(body))
-    known = stage(rows.select(p, sha, F.octet_length(body).alias("n")).where(F.col("n") >= min_bytes), "digests")
+    sizes = stage(rows.select(p, sha, F.octet_length(body).alias("n")), "digests")
+    known = sizes.where(F.col("n") >= min_bytes)
     first = known.groupBy(sha, "n").agg(F.min(p).alias("first"), F.count("*").alias("rows")).where("rows > 1")
     again = (
         known.distinct().join(first, [sha, "n"])
@@ -262,7 +267,9 @@ def write_archive(
                 }
             )
 
-    members = decided.mapInPandas(pack, "member binary")
+    payload = sizes.agg(F.sum("n")).first()[0] or 0
+    archives = max(pages.sparkSession.sparkContext.defaultParallelism, -(-payload // ARCHIVE_BYTES))
+    members = decided.coalesce(archives).mapInPandas(pack, "member binary")
     # the line separator is the zero byte that each member ends in; a string's bytes go out as they are
     members.select(F.col("member").cast("string")).write.option("lineSep", "\u0000").mode("errorifexists").text(path)
 

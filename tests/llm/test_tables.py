@@ -119,6 +119,23 @@ def test_archive_round_trip(spark):
     assert {bytes(b["block"]).partition(b"\r\n\r\n")[2] for b in blocks} == {b"x", b"y"}
 
 
+def test_small_tables_make_few_archives(spark, tmp_path):
+    pages = spark.range(300).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), (F.col("id") % 200).cast("string").alias("html"))
+    settings = {"spark.sql.shuffle.partitions": "41", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    path = str(tmp_path / "archives")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        warc.write_archive(pages, path)
+        found = warc.page_rows(warc.read_archive(spark, path))
+        assert found.count() == 300 and found.where("record_type = 'revisit' and refers_to = page_id - 200").count() == 100
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert 1 <= len(list((tmp_path / "archives").glob("part-*"))) <= spark.sparkContext.defaultParallelism
+
+
 def test_magic_inside_members(spark, tmp_path):
     body = [b"%d" % i + b"A" * (i % 50) + b"\x1f\x8b\x08" * (i % 4) + b"\x1f\x8b\x08\x00" + b"B" * 40 for i in range(40)]
     with open(tmp_path / "x.warc", "wb") as f:
