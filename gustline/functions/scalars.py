@@ -21,6 +21,9 @@ WHITESPACE = " \t\n\r\x0b\x0c"
 # --- fixed values: the only words that are numbers, and the letters they end with
 ODD_NUMBER = r"^(?:[^xX]*[0-9.]|[+-]?(?i:inf|infinity|nan))$"
 NUMBER_WORD_ENDS = "fFyYnN"
+USUAL_TIME = r"^\d{2}-[A-Za-z]{3}-\d{2} \d{2}:\d{2}:[0-5]\d\z"
+MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
+MONTH_NUMBERS = "01 02 03 04 05 06 07 08 09 10 11 12 "  # at the same places
 EVENT_TIME = r"^(\d{1,2})-([A-Za-z]{3})-(\d{1,2}) +(\d{1,2}):(\d{1,2}):(\d{1,2})$"
 
 
@@ -82,7 +85,19 @@ def event_time(text: Column) -> Column:
     """``01-APR-24 10:40:00`` to a timestamp, NULL when unreadable.
 
     Blanks around it, several between date and time, and one-digit parts are read too. Two-digit years pivot at 69 (69 is 1969); the JVM formatter alone reads 2000-2099.
+    The shape shown is put together from its places, which is cheaper than the formatter; all others go there.
     """
+    def place(start: int, length: int = 2) -> Column:
+        return F.substring(text, start, length)
+
+    found = F.position(F.upper(place(4, 3)), F.lit(MONTHS))
+    month = F.when(found % 3 == 1, F.substr(F.lit(MONTH_NUMBERS), found, F.lit(2)))
+    century = F.when(place(8) >= "69", "19").otherwise("20")
+    made = F.concat(century, place(8), F.lit("-"), month, F.lit("-"), place(1), place(10, 9)).try_cast("timestamp")
+    return F.when(text.rlike(USUAL_TIME), made).otherwise(_formatted_time(text))
+
+
+def _formatted_time(text: Column) -> Column:
     trimmed = F.btrim(text, F.lit(WHITESPACE))
 
     def part(group: int) -> Column:

@@ -84,3 +84,16 @@ def test_stored_tables_are_cut_into_small_row_groups(spark, tmp_path):
     path = layers.write_table(rows, str(tmp_path / "t"))
     groups = [pq.ParquetFile(f).metadata for f in (tmp_path / "t").glob("*.parquet")]
     assert path and sum(m.num_rows for m in groups) == 500_000 and sum(m.num_row_groups for m in groups) >= 3
+
+
+def test_the_usual_time_needs_no_formatter(spark):
+    from gustline.functions import scalars as S
+
+    months = ["JAN", "feb", "Mar", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC", "ANF", "XYZ"]
+    texts = [f"{d}-{m}-{y} {c}" for d in ("00", "01", "29", "31") for m in months for y in ("00", "23", "68", "69", "72", "99")
+             for c in ("00:00:00", "23:59:59", "24:00:00", "10:60:00", "10:40:60", "10:40:07\u2028")]
+    rows = spark.createDataFrame([(t,) for t in [*texts, None, "", " 01-APR-24 10:40:00"]], "t string")
+    times = rows.select("t", S.event_time(F.col("t")).alias("new"), S._formatted_time(F.col("t")).alias("old"))
+    assert times.where("not new <=> old").count() == 0 and times.where("new is not null").count() == 367
+    text = plan(times.select("new"))
+    assert 0 < text.index("JANFEB") < text.index("gettimestamp")  # the formatter comes second
