@@ -97,3 +97,48 @@ def test_the_usual_time_needs_no_formatter(spark):
     assert times.where("not new <=> old").count() == 0 and times.where("new is not null").count() == 367
     text = plan(times.select("new"))
     assert 0 < text.index("JANFEB") < text.index("gettimestamp")  # the formatter comes second
+
+
+def test_paired_quotes_are_not_matched(spark, tmp_path):
+    import itertools
+    import re
+
+    from gustline.sources import quoted
+
+    cells = ["", '""', '"""', '""""', "a", '"a', 'a"', '"a"', 'a""b', ' "']
+    values = sorted({",".join(c) for n in (1, 2, 3) for c in itertools.product(cells, repeat=n)})
+    (tmp_path / "t.csv").write_text("".join(f"{v}\n" for v in values))
+    got = {r["value"]: (r["opens"], r["stays"]) for r in quoted._lines(spark, str(tmp_path / "t.csv")).collect()}
+    assert got == {v: (bool(re.search(quoted.OPENS.replace("\\z", "\\Z"), v)), bool(re.search(quoted.STAYS.replace("\\z", "\\Z"), v))) for v in values}
+    assert "StringReplace" in plan(quoted._lines(spark, str(tmp_path / "t.csv"))) or "replace(" in plan(quoted._lines(spark, str(tmp_path / "t.csv")))
+
+
+def test_cells_are_written_before_a_line_is_delivered_twice(spark, tmp_path):
+    from datetime import datetime
+
+    from gustline.sources.delimited import file_name
+    from gustline.workload import feed
+
+    tables = {
+        "region": ([(0, "ASIA")], "r_regionkey int, r_name string"),
+        "nation": ([(0, "X", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": ([(1, "C1", 0, "BUILDING", -3.5)], "c_custkey long, c_name string, c_nationkey int, c_mktsegment string, c_acctbal double"),
+        "orders": ([(5, 1, "O")], "o_orderkey long, o_custkey long, o_orderstatus string"),
+        "lineitem": ([(5, i, 2.0, 10.0, 0.1, "A", s, datetime(1995, 3, 2)) for i, s in ((1, "O"), (2, "F"), (3, None))],
+                     "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    events = feed.raw_events(spark, str(tmp_path))
+    got = sorted((r[K.ROW_ID], r[K.EVENT_TIME_TEXT], r[K.NAME]) for r in events.collect())
+    assert got == [(82, "02-MAR-95 01:40:00", "C1"), (83, "02-MAR-95 01:40:00", "C1"), (84, "02-MAR-95 02:40:00", "C1"), (86, "02-MAR-95 03:40:00", "C1")]
+    wide = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(wide)
+    try:
+        spark.conf.set(wide, "1000")
+        text = feed.raw_events(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set(wide, before)
+    assert text.index("Generate explode(CASE WHEN") < text.index("JANFEB")  # the tree shows what comes last first
+    names = spark.createDataFrame([("file:/x/a%20b%2Bc+d.csv",), ("a+b.csv",), (None,)], "p string")
+    assert [r[0] for r in names.select(file_name(F.col("p"))).collect()] == ["a b+c+d.csv", "a+b.csv", None]
