@@ -213,3 +213,51 @@ def test_a_grid_side_by_side_equals_one_after_another(spark, gold):
     one, other = ([tuple(r) for r in x.results.collect()] for x in results)
     assert one == other and len(one) == 5 and results[0].best == results[1].best
     assert all(row[-1] is None for row in one)
+
+
+def test_training_partitions_follow_the_cores_not_the_rows(spark, monkeypatch):
+    """Every level of every boosted tree is a job with a task for each partition."""
+    monkeypatch.setattr(M, "PARTITION_ROWS", 10)
+    monkeypatch.setattr(M, "stage", lambda df, label: df)  # a table of 12 files
+    rows = spark.range(600).repartition(12)
+    cores = spark.sparkContext.defaultParallelism
+    parts = [M.training_rows(rows, n).rdd.getNumPartitions() for n in (None, 2)]
+    assert parts == [cores, 2]
+    monkeypatch.setattr(M, "MOST_PARTITION_ROWS", 100)  # a partition of a large table must still fit into memory
+    large = M.training_rows(rows, 2)
+    assert large.rdd.getNumPartitions() == 7 and large.count() == 600
+    monkeypatch.setattr(M, "PARTITION_ROWS", 1000)
+    assert M.training_rows(rows).rdd.getNumPartitions() == 1
+
+
+def test_boosting_on_flags_reads_equal_rows_as_one(spark, monkeypatch):
+    rows = [(float(i % 2), float(i % 3 == 0), int(i % 5 < 1 + i % 2)) for i in range(300)]
+    flags = list(K.GOLD_FLAGS[:2])
+    df = spark.createDataFrame(rows, f"{flags[0]} double, {flags[1]} double, label int")
+    ready = M.fit_preprocessing(df, flags).transform(df).select("label", "features").cache()
+    read, plain = [], M.training_rows
+    monkeypatch.setattr(M, "training_rows", lambda *a: read.append(plain(*a)) or read[-1])
+    for weighting in (None, M.POSITIVE_WEIGHT):
+        spec = M.ModelSpec(M.GBTClassifier, {"maxIter": 5, "maxDepth": 2, "seed": M.SEED}, weighting)
+        scores = []
+        for few in (False, True):
+            model = M.fit_classifier(ready, spec, few_vectors=few)
+            scored = model.transform(ready).select(M.positive_probability(model.transform(ready)))
+            scores.append([r[0] for r in scored.collect()])
+        assert scores[0] == pytest.approx(scores[1], abs=1e-9) and len(set(scores[0])) > 1
+    assert [r.count() for r in read] == [8, 8]  # four vectors, two labels
+    assert [r.agg(F.sum("weight")).first()[0] for r in read] == [300, sum(4 if r[2] else 1 for r in rows)]
+
+
+def test_the_grid_tells_flags_from_other_columns(spark, monkeypatch):
+    asked, plain = [], M.fit_classifier
+    monkeypatch.setattr(M, "fit_classifier", lambda *a, **k: asked.append(k["few_vectors"]) or plain(*a, **k))
+    flags = list(K.GOLD_FLAGS[:2])
+    rows = spark.range(200).select(
+        F.col("id").alias(K.KEY), (F.col("id") * 7 % 200 / 200).alias(K.SCORE), F.col("id").cast("double").alias(K.EVENT_COUNT),
+        *[(F.col("id") % (i + 2)).cast("double").alias(f) for i, f in enumerate(flags)], F.lit("a").alias(K.REGION),
+    )
+    specs = {"Decision Tree": M.ModelSpec(M.DecisionTreeClassifier, {"maxDepth": 2})}
+    sets = {M.NARROW: flags, M.WIDE: [*flags, K.EVENT_COUNT], "Region": [*flags, K.REGION]}
+    results = M.run_grid(rows, specs, (0.2,), sets, at_once=1).results.collect()
+    assert asked == [True, False, False] and all(r["error"] is None for r in results)
